@@ -27,6 +27,8 @@ def upper_count(c) -> Column:
 
 
 def metadata_columns(c) -> list[Column]:
+    """The four EDA features.  Pass a column (not an expression): it is
+    referenced several times."""
     return [text_length(c).cast("int").alias("text_length"),
             word_count(c).cast("int").alias("word_count"),
             punct_count(c).cast("int").alias("punct_count"),
@@ -68,11 +70,16 @@ def argmax(arr) -> Column:
 
 
 def format_count(c) -> Column:
-    """1234 -> '1.2K', 1_500_000 -> '1.5M', 2_000_000_000 -> '2.00B'."""
+    """1234 -> '1.2K', 1_500_000 -> '1.5M', 2_000_000_000 -> '2.00B'.
+    Ties round half-to-even, as Python's float formatting does."""
     x = _col(c)
-    return (F.when(x >= 1_000_000_000, F.concat(F.format_string("%.2f", x / 1e9), F.lit("B")))
-            .when(x >= 1_000_000, F.concat(F.format_string("%.1f", x / 1e6), F.lit("M")))
-            .when(x >= 1_000, F.concat(F.format_string("%.1f", x / 1e3), F.lit("K")))
+
+    def fmt(v, digits, suffix):
+        return F.concat(F.format_string(f"%.{digits}f", F.bround(v, digits)), F.lit(suffix))
+
+    return (F.when(x >= 1_000_000_000, fmt(x / 1e9, 2, "B"))
+            .when(x >= 1_000_000, fmt(x / 1e6, 1, "M"))
+            .when(x >= 1_000, fmt(x / 1e3, 1, "K"))
             .otherwise(x.cast("string")))
 
 

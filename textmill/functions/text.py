@@ -58,20 +58,19 @@ def standardise_label(raw) -> Column:
 
 def qp_repair(c) -> Column:
     """Latin-1 encode (dropping other chars) -> quoted-printable decode ->
-    UTF-8 decode dropping invalid bytes.  Pure Column expression."""
+    UTF-8 decode dropping invalid bytes.  Pure Column expression.
+
+    Each intermediate is referenced exactly once: expressions under
+    higher-order functions are evaluated without common-subexpression
+    elimination, so a branch that repeated the input would re-run it."""
     s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"[^\x{0}-\x{FF}]", "")
-    # Quoted-printable decode, only for texts that contain '='.
-    s2 = F.regexp_replace(F.replace(s, F.lit("=="), F.lit("=3D")), r"=\r?\n|=$", "")
-    pieces = F.split(s2, "=", -1)
-    decoded = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).when(
+    s = F.regexp_replace(F.replace(s, F.lit("=="), F.lit("=3D")), r"=\r?\n|=$", "")
+    decoded = F.array_join(F.transform(F.split(s, "=", -1), lambda p, i: F.when(i == 0, p).when(
         p.rlike("^[0-9A-Fa-f]{2}"),
         F.concat(F.decode(F.unhex(F.substring(p, 1, 2)), "ISO-8859-1"), F.substring(p, 3, 1 << 30)),
     ).otherwise(F.concat(F.lit("="), p))), "")
-    latin = F.when(F.instr(s, "=") > 0, decoded).otherwise(s)
-    as_utf8 = F.make_valid_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
-    # Fast path: pure ASCII text is unchanged by all three steps.
-    return F.when(s.rlike(r"[=\x{80}-\x{FF}]"),
-                  F.regexp_replace(as_utf8, r"\x{FFFD}", "")).otherwise(s)
+    as_utf8 = F.make_valid_utf8(F.encode(decoded, "ISO-8859-1").cast("string"))
+    return F.regexp_replace(as_utf8, r"\x{FFFD}", "")
 
 
 # ---------------------------------------------------------------------------
@@ -100,22 +99,18 @@ def _entity_decode(s: Column) -> Column:
                 .when(numeric_ok, F.concat(as_char, F.substring(p, numeric_len + 1, 1 << 30)))
                 .otherwise(F.concat(F.lit("&"), p)))
 
-    decoded = F.array_join(F.transform(F.split(s, "&", -1), piece), "")
-    return F.when(F.instr(s, "&") > 0, decoded).otherwise(s)
+    return F.array_join(F.transform(F.split(s, "&", -1), piece), "")
 
 
 def html_to_text(c) -> Column:
     """Text content of an HTML fragment, pieces joined by a space:
     script/style bodies, comments and declarations are removed, tags become
-    a space, character references are decoded.  Text without ``<`` or ``&``
-    passes through untouched."""
-    s = _col(c)
-    t = F.regexp_replace(s, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
+    a space, character references are decoded."""
+    t = F.regexp_replace(_col(c), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?s)<!--.*?(-->|$)", " ")
     t = F.regexp_replace(t, r"<![^>]*>|<\?[^>]*>", " ")
     t = F.regexp_replace(t, _TAG, " ")
-    t = _entity_decode(t)
-    return F.when(s.rlike("[<&]"), t).otherwise(s)
+    return _entity_decode(t)
 
 
 # ---------------------------------------------------------------------------

@@ -104,10 +104,11 @@ def error_analysis(pred: DataFrame, truth: str = "true_label", predicted: str =
 
 def first_message(thread) -> F.Column:
     """Text before the first 'From:', else 'Sent:', else '<html '; when none
-    occurs the text loses its last character (reproduced quirk)."""
+    occurs the text loses its last character (reproduced quirk).  The
+    slice is not stripped."""
     t = T._col(thread)
     pos = F.coalesce(F.nullif(F.instr(t, "From:"), F.lit(0)), F.nullif(F.instr(t, "Sent:"), F.lit(0)),
                      F.nullif(F.instr(t, "<html "), F.lit(0)))
     cut = F.when(pos.isNotNull(), F.substring(t, F.lit(1), pos - 1)) \
            .otherwise(F.substring(t, F.lit(1), F.greatest(F.length(t) - 1, F.lit(0))))
-    return F.trim(cut)
+    return cut

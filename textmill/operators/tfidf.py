@@ -24,9 +24,12 @@ BROADCAST_VOCAB_LIMIT = 2_000_000
 
 
 def doc_terms(df: DataFrame, text: str, id_col: str, ngram=(1, 2), stop_words=None) -> DataFrame:
+    """(doc_id, terms).  Tokens are projected first and n-grams built from
+    that column: the tokenizer must not be inlined into the n-gram lambda
+    (it would run once per element)."""
     sw = english_stop_words() if stop_words is None else stop_words
-    toks = T.remove_stop_words(T.word_tokens(F.col(text)), sw)
-    return df.select(F.col(id_col).alias("doc_id"), T.ngram_range(toks, ngram[0], ngram[1]).alias("terms"))
+    toks = df.select(F.col(id_col).alias("doc_id"), T.remove_stop_words(T.word_tokens(F.col(text)), sw).alias("_t"))
+    return toks.select("doc_id", T.ngram_range(F.col("_t"), ngram[0], ngram[1]).alias("terms"))
 
 
 def term_counts(terms: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -164,9 +164,9 @@ SELECT doc_id, {S.email_mask(f"lower({S.qp_ascii('text')})", '[email]')} AS mask
        {S.email_mask(S.qp_ascii('text'), ' [EMAIL] ', mixed=True)} AS masked_mixed
 FROM documents""")
 def q_mask_emails(spark, d):
-    t = T.qp_repair("text")
-    return table(spark, d, "documents").select("doc_id", T.mask_emails(F.lower(t), "[email]").alias("masked_lower"),
-                                               T.mask_emails(t, " [EMAIL] ", mixed_case=True).alias("masked_mixed"))
+    t = table(spark, d, "documents").select("doc_id", T.qp_repair("text").alias("t"))
+    return t.select("doc_id", T.mask_emails(F.lower("t"), "[email]").alias("masked_lower"),
+                    T.mask_emails("t", " [EMAIL] ", mixed_case=True).alias("masked_mixed"))
 
 
 @register("expand_contractions", f"""
@@ -301,9 +301,9 @@ WITH t AS (
       '' ORDER BY turn) AS thread
   FROM conversations GROUP BY conv_id),
 p AS (SELECT conv_id, thread, coalesce(nullif(instr(thread, 'From:'), 0), nullif(instr(thread, 'Sent:'), 0), nullif(instr(thread, '<html '), 0)) AS pos FROM t)
-SELECT conv_id, trim(CASE WHEN pos IS NOT NULL THEN substr(thread, 1, pos - 1) ELSE substr(thread, 1, greatest(length(thread) - 1, 0)) END) AS first_message,
+SELECT conv_id, CASE WHEN pos IS NOT NULL THEN substr(thread, 1, pos - 1) ELSE substr(thread, 1, greatest(length(thread) - 1, 0)) END AS first_message,
        'Not Phishing' AS label
-FROM p WHERE length(trim(CASE WHEN pos IS NOT NULL THEN substr(thread, 1, pos - 1) ELSE substr(thread, 1, greatest(length(thread) - 1, 0)) END)) <= 500""")
+FROM p WHERE length(CASE WHEN pos IS NOT NULL THEN substr(thread, 1, pos - 1) ELSE substr(thread, 1, greatest(length(thread) - 1, 0)) END) <= 500""")
 def q_first_message(spark, d):
     th = PG.build_threads(table(spark, d, "conversations"))
     out = th.select("conv_id", QL.first_message("thread").alias("first_message"), F.lit("Not Phishing").alias("label"))
@@ -550,8 +550,8 @@ def q_top_sources_by_label(spark, d):
 
 
 def _features_table(spark, d):
-    lab = labelled(spark, d)
-    return lab.select("record_id", "label", *FT.metadata_columns(T.clean_aggressive("text")))
+    lab = labelled(spark, d).select("record_id", "label", T.clean_aggressive("text").alias("clean"))
+    return lab.select("record_id", "label", *FT.metadata_columns("clean"))
 
 
 _FEAT_SQL = f"""
@@ -620,8 +620,8 @@ def q_top_ngrams(spark, d):
 @register("word_frequencies", f"""
 WITH {S.LABELLED_CTE}, {S.split_ctes('labelled')},
 w AS (SELECT split, label, unnest({S.tokens_no_stop(S.clean_gentle('text'))}) AS word FROM split_rows),
-cnt AS (SELECT split, label, word, count(*) AS n_count FROM w GROUP BY split, label, word),
-r AS (SELECT *, row_number() OVER (PARTITION BY split, label ORDER BY n_count DESC, word) AS rank FROM cnt)
+wc AS (SELECT split, label, word, count(*) AS n_count FROM w GROUP BY split, label, word),
+r AS (SELECT *, row_number() OVER (PARTITION BY split, label ORDER BY n_count DESC, word) AS rank FROM wc)
 SELECT split, label, word, n_count, rank, round(n_count / max(n_count) OVER (PARTITION BY split, label), 6) AS scale FROM r WHERE rank <= 100""")
 def q_word_frequencies(spark, d):
     s = split_table(spark, d).withColumn("text", T.clean_gentle("text"))

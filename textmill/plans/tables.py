@@ -14,8 +14,22 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Text cleaning is CPU-bound per row.  A scan with fewer splits than
+    task slots (one small file, one row group) is spread round-robin over
+    the slots; a large input already has many splits and is left alone."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
