@@ -183,6 +183,16 @@ def word_tokens(c, lower: bool = True) -> Column:
     return F.regexp_extract_all(s, F.lit("[" + WORD_CLASS + "]{2,}"), 0)
 
 
+def explode_terms(arr: Column) -> Column:
+    """``explode_outer`` for arrays computed by expensive expressions.
+
+    A plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push that
+    filter below the projection, inlining (and so re-running) the whole
+    array expression inside the predicate.  The outer form infers nothing;
+    callers drop the null produced for empty arrays."""
+    return F.explode_outer(arr)
+
+
 def remove_stop_words(tokens: Column, stop_words) -> Column:
     sw = list(stop_words)
     return F.filter(tokens, lambda t: ~t.isin(sw))

@@ -20,7 +20,7 @@ def l2_normalise(arr) -> Column:
 def centroids(df: DataFrame, vec: str, group: str) -> DataFrame:
     """Per-group mean vector: explode positions, map-side-combined mean per
     (group, pos), then re-assemble the (dimension-bounded) array."""
-    long = df.select(F.col(group).alias("cluster"), F.posexplode(vec).alias("pos", "x"))
+    long = df.select(F.col(group).alias("cluster"), F.posexplode_outer(vec).alias("pos", "x")).filter(F.col("pos").isNotNull())
     means = long.groupBy("cluster", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
     return means.groupBy("cluster").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))

@@ -108,7 +108,8 @@ def top_ngrams(df: DataFrame, text: str = "text", label: str = "label", ns=(1, 2
     are removed before n-grams are formed."""
     toks = df.select(label, tokens_no_stop(F.col(text), stop_words).alias("_t"))
     grams = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), T.ngrams(F.col("_t"), n).alias("g")) for n in ns]))
-    long = toks.select(label, grams.alias("_x")).select(label, "_x.n", F.explode("_x.g").alias("term"))
+    long = toks.select(label, grams.alias("_x")).select(label, "_x.n", T.explode_terms("_x.g").alias("term")) \
+               .filter(F.col("term").isNotNull())
     counts = long.groupBy(label, "n", "term").agg(F.count(F.lit(1)).alias("n_count"))
     w = Window.partitionBy(label, "n").orderBy(F.desc("n_count"), F.col("term"))
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -118,7 +119,8 @@ def word_frequencies(df: DataFrame, text: str = "text", group_cols=("label",), k
                      stop_words=None) -> DataFrame:
     """Top-k words per group with frequency relative to the group's top word."""
     g = list(group_cols)
-    long = df.select(*g, F.explode(tokens_no_stop(F.col(text), stop_words)).alias("word"))
+    long = df.select(*g, T.explode_terms(tokens_no_stop(F.col(text), stop_words)).alias("word")) \
+             .filter(F.col("word").isNotNull())
     counts = long.groupBy(*g, "word").agg(F.count(F.lit(1)).alias("n_count"))
     w = Window.partitionBy(*g).orderBy(F.desc("n_count"), F.col("word"))
     top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

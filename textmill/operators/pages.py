@@ -34,7 +34,8 @@ def page_links(pages: DataFrame, id_col: str = "page_id", url: str = "url", html
     """One row per navigation link: (page_id, item_no, title, link)."""
     nav = F.regexp_extract(F.col(html), r"(?is)<nav\b[^>]*>(.*?)</nav>", 1)
     anchors = F.regexp_extract_all(nav, F.lit(r"(?is)<a\b[^>]*>.*?</a>"), 0)
-    p = pages.select(id_col, url, F.posexplode(anchors).alias("item_no", "_a"))
+    p = pages.select(id_col, url, F.posexplode_outer(anchors).alias("item_no", "_a")) \
+             .filter(F.col("item_no").isNotNull())
     href = F.regexp_extract(F.col("_a"), r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1)
     title = _inner_text(F.regexp_extract(F.col("_a"), r"(?is)<a\b[^>]*>(.*?)</a>", 1))
     return p.select(id_col, "item_no", title.alias("title"), absolute_url(F.col(url), href).alias("link"))

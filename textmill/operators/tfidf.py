@@ -35,7 +35,7 @@ def doc_terms(df: DataFrame, text: str, id_col: str, ngram=(1, 2), stop_words=No
 def term_counts(terms: DataFrame, partitions: int | None = None) -> DataFrame:
     """(doc_id, term, tf) with documents hash-partitioned once."""
     t = terms.repartition(partitions, "doc_id") if partitions else terms.repartition("doc_id")
-    return t.select("doc_id", F.explode("terms").alias("term")) \
+    return t.select("doc_id", T.explode_terms("terms").alias("term")).filter(F.col("term").isNotNull()) \
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -1018,8 +1018,9 @@ def _subword_tokens(spark, d):
     into 3-character pieces, the first marked as a word start; every document
     is framed by special tokens.  Weight is derived from the piece."""
     docs = table(spark, d, "documents").select("doc_id", T.whitespace_words("text").alias("w"))
-    w = docs.select("doc_id", F.posexplode("w").alias("wpos", "word"))
-    p = w.select("doc_id", "wpos", F.posexplode(F.regexp_extract_all("word", F.lit("(?s).{1,3}"), 0)).alias("ppos", "piece"))
+    w = docs.select("doc_id", F.posexplode_outer("w").alias("wpos", "word")).filter(F.col("wpos").isNotNull())
+    p = w.select("doc_id", "wpos", F.posexplode_outer(F.regexp_extract_all("word", F.lit("(?s).{1,3}"), 0)).alias("ppos", "piece")) \
+         .filter(F.col("ppos").isNotNull())
     tok = p.select("doc_id", (F.col("wpos") * 100 + F.col("ppos") + 1).alias("pos"),
                    F.when(F.col("ppos") == 0, F.concat(F.lit("Ġ"), F.col("piece"))).otherwise(F.col("piece")).alias("token"),
                    ((F.length("piece") * 7 + F.col("wpos") % 5) / 10.0).alias("weight"))
