@@ -35,11 +35,13 @@ def nearest_clusters(df: DataFrame, vec: str, cents: DataFrame, n: int = 1, extr
     (Euclidean, ties by cluster id)."""
     fields = [F.col("cluster"), F.col("centroid")] + [F.col(c) for c in extra_cols if c in cents.columns]
     table = cents.select(F.collect_list(F.struct(*fields))).scalar()
+    # Subqueries may not sit inside lambdas: project the table first.
+    d = df.withColumn("_cents", table)
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    ranked = F.transform(table, lambda c: F.struct(
+    ranked = F.transform(F.col("_cents"), lambda c: F.struct(
         F.sqrt(_sq_dist(v, c["centroid"])).alias("dist"), c["cluster"].alias("cluster"),
         *[c[e].alias(e) for e in extra_cols if e in cents.columns]))
-    return df.withColumn("nearest", F.slice(F.array_sort(ranked), 1, n))
+    return d.withColumn("nearest", F.slice(F.array_sort(ranked), 1, n)).drop("_cents")
 
 
 def cluster_risk(assigned: DataFrame, cluster: str = "cluster", positive: str = "is_positive") -> DataFrame:

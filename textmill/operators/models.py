@@ -5,9 +5,9 @@ with distributed DataFrame aggregates (only the bounded vocabulary reaches
 the driver, as with Spark's own ``CountVectorizer``) and returns a
 ``PipelineModel`` of standard stages (SQLTransformer -> CountVectorizerModel
 -> ElementwiseProduct(idf) -> Normalizer -> scalers -> VectorAssembler), so
-fitted models save and load with ``PipelineModel.write()``.  Because the
-featurizer is an estimator, ``CrossValidator`` refits the vocabulary inside
-every fold (no leakage from validation rows).
+fitted models save and load with ``PipelineModel.write()``.  Cross-validation
+refits the featurizer inside every fold (no vocabulary leakage from the
+held-out rows).
 """
 
 from __future__ import annotations
@@ -17,12 +17,11 @@ import time
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, MinMaxScaler, Normalizer, SQLTransformer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, MaxAbsScaler, Normalizer, SQLTransformer,
                                 StandardScaler, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +79,9 @@ class TfidfFeaturizer(Estimator, HasInputCol, HasOutputCol):
         ep = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf_raw")
         nm = Normalizer(p=2.0, inputCol="_tfidf_raw", outputCol="_tfidf")
         va_num = VectorAssembler(inputCols=NUMERIC, outputCol="_num")
-        sc = (MinMaxScaler(inputCol="_num", outputCol="_num_scaled") if scaler == "minmax"
+        # Naive Bayes needs non-negative features on unseen rows too: the
+        # metadata counts are >= 0, so scaling by the max keeps them >= 0.
+        sc = (MaxAbsScaler(inputCol="_num", outputCol="_num_scaled") if scaler == "minmax"
               else StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_num_scaled"))
         va = VectorAssembler(inputCols=["_tfidf", "_num_scaled"], outputCol=out)
         drop = SQLTransformer(statement="SELECT * EXCEPT (_toks, _words, terms, _tf, _tfidf_raw, _tfidf, _num, _num_scaled) FROM __THIS__")
@@ -128,12 +129,35 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
               .drop("features", "rawPrediction", "probability", "prediction")
 
 
+# Rows per partition when fitting a classifier: iterative solvers aggregate a
+# dense gradient per partition per iteration, so a small training set spread
+# over many partitions pays that cost many times.  Large sets keep many
+# partitions (one per ROWS_PER_PARTITION rows).
+ROWS_PER_PARTITION = 20000
+
+
+def fit_model(kind: str, train: DataFrame, n_train: int | None = None, max_features: int = 20000,
+              ngram_max: int = 2, **kw) -> PipelineModel:
+    """Featurizer fit -> features sized to the data -> classifier fit;
+    returns one ``PipelineModel`` (featurizer stages + classifier)."""
+    n = train.count() if n_train is None else n_train
+    scaler = "minmax" if kind == "naive_bayes" else "standard"
+    feat = TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max, scaler=scaler).fit(train)
+    x = feat.transform(train).select("features", "label", *([kw["weight_col"]] if kw.get("weight_col") else []))
+    parts = max(1, min(x.rdd.getNumPartitions(), -(-n // ROWS_PER_PARTITION)))
+    x = x.coalesce(parts).cache()
+    try:
+        clf = classifier(kind, n, **kw).fit(x)
+    finally:
+        x.unpersist()
+    return PipelineModel(stages=[feat, clf])
+
+
 def train_and_evaluate(kind: str, train: DataFrame, test: DataFrame, **kw):
     """Fit, time, predict and evaluate one model; returns (model, metrics dict,
     scored test frame)."""
-    n = train.count()
     t0 = time.time()
-    model = model_pipeline(kind, n, **kw).fit(train)
+    model = fit_model(kind, train, **kw)
     fit_s = time.time() - t0
     scored = score(model, test).withColumnRenamed("label", "true_label")
     cm = MT.confusion_matrix(scored, "true_label", "pred_label")
@@ -142,33 +166,35 @@ def train_and_evaluate(kind: str, train: DataFrame, test: DataFrame, **kw):
     return model, wm, scored
 
 
-def cross_validate(kind: str, df: DataFrame, fold_col: str = "fold", parallelism: int = 2, grid=None, **kw):
-    """k-fold CV with a fold column (stratified folds from sampling); the
-    whole pipeline (featurizer included) is refit per fold."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-
-    n = df.count()
-    pipe = model_pipeline(kind, n, **kw)
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    est = pipe
-    maps = grid(pipe.getStages()[-1]) if grid else ParamGridBuilder().build()
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col, parallelism=parallelism,
-                        numFolds=int(df.select(F.max(fold_col)).first()[0]) + 1)
-    return cv.fit(df)
-
-
-def default_grid(kind: str, n_train: int):
-    """Per-model grids (subset of the published ones)."""
-    def build(clf):
-        g = ParamGridBuilder()
-        if kind in ("logistic_regression", "linear_svc"):
-            g = g.addGrid(clf.regParam, [1.0 / (c * max(n_train, 1)) for c in (0.1, 1.0, 10.0)])
-        elif kind == "sgd_hinge":
-            g = g.addGrid(clf.regParam, [1e-5, 1e-4, 1e-3])
-        elif kind == "naive_bayes":
-            g = g.addGrid(clf.smoothing, [0.1, 0.5, 1.0])
-        return g.build()
-    return build
+def cross_validate(kind: str, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None, **kw):
+    """k-fold CV over a fold column (stratified folds from sampling): for each
+    parameter setting, the whole model (featurizer included, so no
+    vocabulary leakage) is refit on k-1 folds and scored on the held-out
+    fold.  Returns [(params, mean accuracy, population std)]."""
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    out = []
+    for params in (grid or [{}]):
+        accs = []
+        for f in folds:
+            train, held = df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)
+            model = fit_model(kind, train, **{**kw, **params})
+            sc = score(model, held)
+            accs.append(sc.select(F.avg((F.col("label") == F.col("pred_label")).cast("double"))).first()[0])
+        mean = sum(accs) / len(accs)
+        std = (sum((a - mean) ** 2 for a in accs) / len(accs)) ** 0.5
+        out.append((params, mean, std))
+    return out
+
+
+def default_grid(kind: str) -> list[dict]:
+    """Per-model grids (a subset of the published ones), in sklearn terms."""
+    if kind in ("logistic_regression", "linear_svc"):
+        return [{"C": c} for c in (0.1, 1.0, 10.0)]
+    if kind == "sgd_hinge":
+        return [{"alpha": a} for a in (1e-5, 1e-4, 1e-3)]
+    if kind == "naive_bayes":
+        return [{"nb_alpha": a} for a in (0.1, 0.5, 1.0)]
+    return [{}]
 
 
 def parameter_count(model: PipelineModel) -> int:

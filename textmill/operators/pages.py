@@ -64,7 +64,7 @@ def page_section(pages: DataFrame, id_col: str = "page_id", html: str = "html",
     paras = F.slice(F.regexp_extract_all(after, F.lit(r"(?is)<p\b[^>]*>(.*?)(?=<p\b|</p\s*>|</article|$)"), 1), 1, tries)
     texts = F.transform(paras, lambda x: _inner_text(x))
     hit = F.filter(texts, lambda x: F.instr(F.lower(x), keyword.lower()) > 0)
-    section = F.coalesce(F.element_at(hit, 1), F.element_at(texts, 1))
+    section = F.coalesce(F.try_element_at(hit, F.lit(1)), F.try_element_at(texts, F.lit(1)))
     return pages.select(id_col, section.alias("section"), (F.size(hit) > 0).alias("keyword_found"))
 
 

@@ -908,11 +908,11 @@ def q_tfidf(spark, d):
 
 
 @register("top_doc_terms", _TFIDF_SQL_BASE + """,
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term) AS rank FROM tfidf)
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(tfidf, 9) DESC, term) AS rank FROM tfidf)
 SELECT doc_id, term, round(tfidf, 6) AS weight, rank FROM r WHERE rank <= 15""")
 def q_top_doc_terms(spark, d):
     t = TF.tfidf(_tfidf_corpus(spark, d), "text", "record_id", max_features=_TFIDF_MAX)
-    top = IP.top_terms(t.withColumnRenamed("tfidf", "weight"), "doc_id", "term", "weight", 15)
+    top = IP.top_terms(t.withColumn("weight", F.round("tfidf", 9)), "doc_id", "term", "weight", 15)
     return top.select("doc_id", "term", r6(F.col("weight")).alias("weight"), "rank")
 
 
@@ -991,7 +991,7 @@ def q_naive_bayes(spark, d):
 
 @register("nb_contributions", _NB_SQL + """,
 coef AS (SELECT a.term, b.log_p - a.log_p AS coef FROM lp a JOIN lp b ON a.term = b.term AND a.label = 0 AND b.label = 1),
-x AS (SELECT te.doc_id, te.term, te.tf * coef.coef AS weight FROM te JOIN coef USING (term)),
+x AS (SELECT te.doc_id, te.term, round(te.tf * coef.coef, 9) AS weight FROM te JOIN coef USING (term)),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS rank FROM x)
 SELECT doc_id, term, round(weight, 6) AS weight, rank FROM r WHERE rank <= 15""")
 def q_nb_contributions(spark, d):
@@ -1008,7 +1008,9 @@ def q_nb_contributions(spark, d):
                                   F.max(F.when(F.col("label") == 0, F.col("log_p"))).alias("p0")) \
              .filter(F.col("p1").isNotNull() & F.col("p0").isNotNull()) \
              .select("term", (F.col("p1") - F.col("p0")).alias("coef"))
-    x = test_tf.join(coef, "term").withColumn("weight", F.col("tf") * F.col("coef"))
+    # Rank on 9-digit weights: mathematically tied terms (tf x coef) differ in
+    # the last bits between engines; the term then breaks the tie.
+    x = test_tf.join(coef, "term").withColumn("weight", F.round(F.col("tf") * F.col("coef"), 9))
     top = IP.top_terms(x, "doc_id", "term", "weight", 15)
     return top.select("doc_id", "term", r6(F.col("weight")).alias("weight"), "rank")
 
