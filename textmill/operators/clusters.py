@@ -10,13 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.barrier import materialize
+
 
 def l2_normalise(arr) -> Column:
+    """Unit vector.  The norm is referenced inside the lambda; pass a column
+    (or use :func:`with_unit`) so it is not recomputed per element."""
     a = F.col(arr) if isinstance(arr, str) else arr
     norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     return F.transform(a, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(x.cast("double")))
 
 
+def with_unit(df: DataFrame, vec: str, out: str = "unit") -> DataFrame:
+    """Adds the L2-normalised vector, computing the norm once per row."""
+    norm = F.sqrt(F.aggregate(F.col(vec), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    d = materialize(df, "_norm", norm)
+    return d.withColumn(out, F.transform(F.col(vec), lambda x: F.when(F.col("_norm") > 0, x.cast("double") / F.col("_norm"))
+                                         .otherwise(x.cast("double")))).drop("_norm")
+
+
 def centroids(df: DataFrame, vec: str, group: str) -> DataFrame:
     """Per-group mean vector: explode positions, map-side-combined mean per
     (group, pos), then re-assemble the (dimension-bounded) array."""
@@ -35,13 +47,14 @@ def nearest_clusters(df: DataFrame, vec: str, cents: DataFrame, n: int = 1, extr
     (Euclidean, ties by cluster id)."""
     fields = [F.col("cluster"), F.col("centroid")] + [F.col(c) for c in extra_cols if c in cents.columns]
     table = cents.select(F.collect_list(F.struct(*fields))).scalar()
-    # Subqueries may not sit inside lambdas: project the table first.
-    d = df.withColumn("_cents", table)
-    v = F.transform(F.col(vec), lambda x: x.cast("double"))
+    # Subqueries may not sit inside lambdas: project the table first; the
+    # vector is materialized so the lambda does not recompute it per centroid.
+    d = materialize(df.withColumn("_cents", table), "_v", F.transform(F.col(vec), lambda x: x.cast("double")))
+    v = F.col("_v")
     ranked = F.transform(F.col("_cents"), lambda c: F.struct(
         F.sqrt(_sq_dist(v, c["centroid"])).alias("dist"), c["cluster"].alias("cluster"),
         *[c[e].alias(e) for e in extra_cols if e in cents.columns]))
-    return d.withColumn("nearest", F.slice(F.array_sort(ranked), 1, n)).drop("_cents")
+    return d.withColumn("nearest", F.slice(F.array_sort(ranked), 1, n)).drop("_cents", "_v")
 
 
 def cluster_risk(assigned: DataFrame, cluster: str = "cluster", positive: str = "is_positive") -> DataFrame:

@@ -91,17 +91,18 @@ class TfidfFeaturizer(Estimator, HasInputCol, HasOutputCol):
 def classifier(kind: str, n_train: int, C: float = 1.0, alpha: float = 1e-4, nb_alpha: float = 1.0,
                weight_col: str | None = None):
     """sklearn-style hyper-parameters mapped onto Spark ML:
-    LR / SVC regParam = 1 / (C * n); SGD hinge regParam = alpha."""
+    LR / SVC regParam = 1 / (C * n); SGD hinge regParam = alpha; the
+    solvers' default tolerance there (1e-4) is kept."""
     common = dict(featuresCol="features", labelCol="label")
     if weight_col:
         common["weightCol"] = weight_col
     if kind == "logistic_regression":
         return LogisticRegression(regParam=1.0 / (C * max(n_train, 1)), elasticNetParam=0.0, standardization=False,
-                                  maxIter=100, **common)
+                                  maxIter=100, tol=1e-4, **common)
     if kind == "linear_svc":
-        return LinearSVC(regParam=1.0 / (C * max(n_train, 1)), standardization=False, maxIter=100, **common)
+        return LinearSVC(regParam=1.0 / (C * max(n_train, 1)), standardization=False, maxIter=100, tol=1e-4, **common)
     if kind == "sgd_hinge":
-        return LinearSVC(regParam=alpha, standardization=False, maxIter=100, **common)
+        return LinearSVC(regParam=alpha, standardization=False, maxIter=100, tol=1e-4, **common)
     if kind == "naive_bayes":
         return NaiveBayes(smoothing=nb_alpha, modelType="multinomial", **common)
     raise ValueError(kind)

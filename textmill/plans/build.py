@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.barrier import materialize
 from ..operators import dedup as DD
 from ..operators import quality as QL
 from ..operators import sampling as SM
@@ -23,7 +24,7 @@ from ..sinks.writers import write_stage
 
 def clean_stage(master: DataFrame, cleaner=T.clean_base, min_chars: int = 50) -> DataFrame:
     m = QL.drop_unlabelled(master)
-    return QL.min_length(m.withColumn("text", cleaner("text")), n=min_chars)
+    return QL.min_length(materialize(m, "text", cleaner("text")), n=min_chars)
 
 
 def build_dataset(spark: SparkSession, master: DataFrame, out_path: str | None = None,

@@ -25,6 +25,7 @@ from ..operators import pages as PG
 from ..operators import quality as QL
 from ..operators import sampling as SM
 from ..operators import tfidf as TF
+from ..functions.barrier import materialize
 from . import sqltext as S
 from .tables import labelled, master, predictions, table
 
@@ -51,7 +52,7 @@ def r6(c):
 
 def cleaned_master(spark, d):
     m = QL.drop_unlabelled(master(spark, d))
-    return QL.min_length(m.withColumn("text", T.clean_base("text")))
+    return QL.min_length(materialize(m, "text", T.clean_base("text")))
 
 
 def deduped(spark, d):
@@ -333,7 +334,7 @@ def q_min_length(spark, d):
 WITH {S.LABELLED_CTE}, c AS (SELECT {S.clean_aggressive('text')} AS text, label, record_id FROM labelled)
 SELECT * FROM c WHERE length(trim(text)) > 0 AND len({S.words('text')}) BETWEEN 5 AND 2000""")
 def q_token_band(spark, d):
-    c = labelled(spark, d).select(T.clean_aggressive("text").alias("text"), "label", "record_id")
+    c = materialize(labelled(spark, d).select("text", "label", "record_id"), "text", T.clean_aggressive("text"))
     return QL.token_band(QL.non_empty(c))
 
 
@@ -382,7 +383,7 @@ SELECT step, stage, rows_after, lag(rows_after) OVER (ORDER BY step) AS rows_bef
 def q_stage_report(spark, d):
     m = master(spark, d)
     lab = QL.drop_unlabelled(m)
-    ml = QL.min_length(lab.withColumn("text", T.clean_base("text")))
+    ml = QL.min_length(materialize(lab, "text", T.clean_base("text")))
     return QL.stage_report([("master", m), ("labelled", lab), ("min_length", ml), ("dedup", DD.dedup_keep_first(ml))]) \
         .select("step", "stage", "rows_after", "rows_before", "removed")
 
@@ -948,9 +949,14 @@ def q_minmax_scale(spark, d):
 
 
 def _nb_inputs(spark, d):
+    """Split ids and unigram counts.  Both feed several aggregates and
+    scalar subqueries, so they are persisted (memory, spilling to disk)
+    instead of re-running cleaning and ranking for each consumer."""
+    from pyspark import StorageLevel
     s = split_table(spark, d).select("record_id", "label", "split", T.clean_aggressive("text").alias("text"))
+    s = s.persist(StorageLevel.MEMORY_AND_DISK)
     terms = TF.doc_terms(s, "text", "record_id", (1, 1))
-    tf = TF.term_counts(terms)
+    tf = TF.term_counts(terms).persist(StorageLevel.MEMORY_AND_DISK)
     ids = s.select(F.col("record_id").alias("doc_id"), "label", "split")
     train_tf = tf.join(ids.filter(F.col("split") == "train").select("doc_id"), "doc_id", "left_semi")
     test_tf = tf.join(ids.filter(F.col("split") == "test").select("doc_id"), "doc_id", "left_semi")
@@ -1069,11 +1075,11 @@ SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) / sqr
 FROM embeddings""")
 def q_l2_normalise(spark, d):
     e = table(spark, d, "embeddings")
-    return e.select("vec_id", F.transform(CL.l2_normalise("embedding"), lambda x: F.round(x, 6)).alias("unit"))
+    return CL.with_unit(e, "embedding", "unit").select("vec_id", F.transform("unit", lambda x: F.round(x, 6)).alias("unit"))
 
 
 def _cluster_tables(spark, d):
-    e = table(spark, d, "embeddings").withColumn("unit", CL.l2_normalise("embedding"))
+    e = CL.with_unit(table(spark, d, "embeddings"), "embedding", "unit")
     cents = CL.centroids(e, "unit", "label")
     assigned = CL.nearest_clusters(e, "unit", cents, n=1, extra_cols=()).select(
         "vec_id", "label", F.col("nearest")[0]["cluster"].alias("cluster"), F.col("unit"))
