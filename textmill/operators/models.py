@@ -146,7 +146,9 @@ def fit_model(kind: str, train: DataFrame, n_train: int | None = None, max_featu
     feat = TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max, scaler=scaler).fit(train)
     x = feat.transform(train).select("features", "label", *([kw["weight_col"]] if kw.get("weight_col") else []))
     parts = max(1, min(x.rdd.getNumPartitions(), -(-n // ROWS_PER_PARTITION)))
-    x = x.coalesce(parts).cache()
+    # repartition, not coalesce: coalesce would also pull the upstream
+    # tokenization into ``parts`` tasks; the shuffle moves only the vectors.
+    x = x.repartition(parts).cache()
     try:
         clf = classifier(kind, n, **kw).fit(x)
     finally:
