@@ -26,10 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Text cleaning is CPU-bound per row.  A scan with fewer splits than
     task slots (one small file, one row group) is spread round-robin over
     the slots; a large input already has many splits and is left alone."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave it to AQE
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
