@@ -2,18 +2,14 @@
 
 Everything in the "FIXED VALUES" block must stay exactly as written: the
 label spellings, display names, regex character classes and thresholds
-define the semantics the engine reproduces.  Long word lists are not
-transcribed here; they are loaded from the Spark ML jar that ships with
-pyspark (see :func:`english_stop_words`).
+define the semantics the engine reproduces.  Importing this module opens no
+file, jar or session.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
 import html.entities
-import os
-import zipfile
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the published pipeline's settings)
@@ -89,20 +85,26 @@ URL_PATTERN = r"(https?://[^" + WS_CLASS + r"]+|www\.[^" + WS_CLASS + r"]+)"
 # ---------------------------------------------------------------------------
 
 
-@functools.lru_cache(maxsize=None)
+# FIXED VALUES: the English list of Spark ML's StopWordsRemover, stated here so
+# that importing the package needs no jar, session or file.
+ENGLISH_STOP_WORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+    hers herself it its itself they them their theirs themselves what which who whom this that these
+    those am is are was were be been being have has had having do does did doing a an the and but if or
+    because as until while of at by for with about against between into through during before after
+    above below to from up down in out on off over under again further then once here there when where
+    why how all any both each few more most other some such no nor not only own same so than too very s
+    t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+    they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+    weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+    couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+    """.split())
+
+
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's built-in English stop-word list, read from the mllib jar
-    bundled with pyspark (same list ``StopWordsRemover`` uses)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split()
-                return tuple(dict.fromkeys(w.strip().lower() for w in words if w.strip()))
-    raise RuntimeError("Spark ML stop-word list not found in the pyspark jars")
+    return ENGLISH_STOP_WORDS
 
 
 @functools.lru_cache(maxsize=None)

@@ -7,8 +7,9 @@ the cluster configured.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,21 +40,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when
-    the session has none (local tests).  On a cluster ``spark.checkpoint.dir``
-    names a shared folder and is used as is."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    A private temporary folder is made only where the setting is missing and
+    the session runs in one local JVM (tests, local benches); on a cluster a
+    missing setting is an error, as executors do not share local folders."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="textmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="textmill-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
+    """A path under the shared checkpoint folder for intermediate tables;
+    every call gets a folder of its own, so two runs never meet."""
     base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex[:12]}-{name}"
