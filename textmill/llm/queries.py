@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, simhash, token_count
+from . import bpe, decontam, lang_id, simhash, token_count, toxicity
 from .common import read, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,14 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_table(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=512)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.predict_table(read(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"), words=3, max_bits=3)
 
@@ -54,6 +62,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bpe": op3_bpe,
     "op5_token_count": op5_token_count,
+    "op6_language": op6_language,
+    "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
 }
