@@ -11,12 +11,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lang_id, simhash, token_count, toxicity
+from . import bpe, chat_tree, decontam, embedding_dedup, lang_id, lm_score, shard, simhash, token_count, toxicity
 from .common import read, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_table(read(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = token_count.vocabulary(spark, public_tokenizers.path(TOKENIZER))
 
@@ -37,6 +45,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", digests(text_bytes()).alias("r")).select("doc_id", "r.*")
 
 
+SHARDS = [f"shard-{k:02d}" for k in range(64)]
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id")
+    return shard.place(docs, "doc_id", SHARDS)
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_table(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=512)
 
@@ -49,6 +65,34 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
+ODD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ODD_TEXT).alias("text"))
+    out = chat_tree.format_conversations(table.unionByName(odd)).select(
+        "conv_id", "formatted", chat_tree.read_back(F.col("formatted")).alias("turns"),
+        chat_tree.learned_text(F.col("formatted"), F.col("loss")).alias("learned"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
+                      F.char_length("learned").cast("long").alias("loss_chars"), F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP8_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '#', '\h'), '<', '\l') AS body,
+  replace(replace(replace(replace(role, '\', '\\'), '#', '\h'), '<', '\l'), ':', '\c') AS head FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"), words=3, max_bits=3)
 
@@ -60,14 +104,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_lm_score": op2_lm_score,
     "op3_bpe": op3_bpe,
+    "op4_sharding": op4_sharding,
     "op5_token_count": op5_token_count,
     "op6_language": op6_language,
     "op7_toxicity": op7_toxicity,
+    "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op8_chat_format": OP8_SQL}
