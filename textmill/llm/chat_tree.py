@@ -15,6 +15,8 @@ spans (first character, length) of the texts of the chosen roles.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,18 +52,19 @@ def paths(nodes: DataFrame, top: int) -> DataFrame:
     leaves_of = state.where("up is not null").select("tree", F.col("up").alias("node")).distinct()
     leaf = state.join(leaves_of, ["tree", "node"], "left_anti").select("tree", "node")
     deepest = state.count()
+    done, open_ = [state.where("up is null")], state.where("up is not null")
     jumps = []  # jumps[k]: the message 2^k answers above
-    while True:
-        jump = state.where("up is not null").select("tree", "node", "up")
-        if not jump.limit(1).count():
-            break
-        jumps.append(jump)
+    while open_.limit(1).count():  # messages that have reached their root take no further part
+        jumps.append(open_.select("tree", "node", "up"))
         if 1 << len(jumps) > 2 * deepest:  # no path is longer than all messages
             raise ValueError("the replies form a cycle")
-        far = state.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("more"), F.col("depth").alias("steps"))
-        state = stored(state.join(far, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth")), f"chat-up-{len(jumps)}")
+        far = functools.reduce(DataFrame.unionByName, done, open_).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("more"), F.col("depth").alias("steps"))
+        state = stored(open_.join(far, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("more")).alias("total"),
+            (F.col("depth") + F.col("steps")).alias("depth")), f"chat-up-{len(jumps)}")
+        done, open_ = [*done, state.where("up is null")], state.where("up is not null")
+    state = functools.reduce(DataFrame.unionByName, done)
     order = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     chosen = (state.join(leaf, ["tree", "node"], "left_semi").withColumn("rank", F.row_number().over(order))
               .where(F.col("rank") <= top).select("tree", F.col("node").alias("leaf"), "rank", "node", F.col("depth").alias("pos")))
