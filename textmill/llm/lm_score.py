@@ -23,6 +23,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +90,7 @@ class Model:
 
 
 def features(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
-    """Feature rows (tokens x 4) of the tokens of consecutive documents; before
+    """Feature rows (4 x tokens) of the tokens of consecutive documents; before
     a document stand three start tokens."""
     n, pad = len(ids), 3
     at = np.arange(n) + pad * (np.repeat(np.arange(len(lengths)), lengths) + 1)
@@ -97,22 +98,32 @@ def features(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
     line[at] = ids
     one, two, three = line[at - 1], line[at - 2], line[at - 3]
     a, b, c, d = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F))
-    mixed = np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)), axis=1)
+    mixed = np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)))
     mixed ^= mixed >> np.uint32(15)
-    return (mixed * a >> np.uint32(32 - BITS)).astype(np.int64)
+    return (mixed * a >> np.uint32(32 - BITS)).astype(np.uint16)  # 16 bits sort by radix
 
 
-def class_logs(model: Model, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """ln P(class | features), tokens x classes."""
-    y = model.bias + weights[rows].sum(axis=1)
+def logits(model: Model, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Logits of the classes, the largest of each token zero (tokens x classes)."""
+    y = weights[rows[0]]
+    for r in rows[1:]:
+        y += weights[r]
+    y += model.bias
     y -= y.max(axis=1, keepdims=True)
-    return y - np.log(np.exp(y).sum(axis=1, keepdims=True))
+    return y
+
+
+def class_logs(model: Model, weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """ln P(target class | features) of every token."""
+    y = logits(model, weights, rows)
+    mine = y[np.arange(len(y)), target].astype(np.float64)
+    return mine - np.log(np.exp(y, out=y).sum(axis=1))
 
 
 def _encode(texts: list[bytes], ids: dict[bytes, int], tail: int) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     tokens = [[*words(t), END] for t in texts]
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    flat = np.fromiter((ids.get(w, tail) for t in tokens for w in t), np.uint32, int(lengths.sum()))
+    flat = np.fromiter(map(ids.get, chain.from_iterable(tokens), repeat(tail)), np.uint32, int(lengths.sum()))
     return flat, lengths, tokens
 
 
@@ -190,7 +201,7 @@ def train(texts: DataFrame, counts: DataFrame) -> Model:
     c = top["c"].to_numpy(np.int64)
     n = len(c)
     model = Model(top["word"].tolist(), c, total, distinct, np.zeros(n + 1, np.int64), np.zeros(n + 1), total - int(c.sum()),
-                  distinct - n, np.zeros(CLASSES), np.zeros((ROWS, CLASSES), np.float32))
+                  distinct - n, np.zeros(CLASSES, np.float32), np.zeros((ROWS, CLASSES), np.float32))
     classes = np.zeros(n + 1, np.int64)
     if n:
         classes[:n] = 1 + _cluster(_profiles(texts, model) / c[:, None], c.astype(float), CLASSES - 1)
@@ -199,7 +210,7 @@ def train(texts: DataFrame, counts: DataFrame) -> Model:
     within = np.zeros(n + 1)
     within[:n] = np.log(c / mass[classes[:n]])
     with np.errstate(divide="ignore"):
-        bias = np.maximum(np.log(mass / max(mass.sum(), SMOOTH)), -60.0)  # classes without words
+        bias = np.maximum(np.log(mass / max(mass.sum(), SMOOTH)), -60.0).astype(np.float32)  # classes without words
     model = replace(model, classes=classes, within=within, bias=bias)
     for k in range(ROUNDS if n else 0):
         part = texts.where(F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS)) == k)
@@ -209,13 +220,16 @@ def train(texts: DataFrame, counts: DataFrame) -> Model:
 
 def learn(model: Model, weights: np.ndarray, squares: np.ndarray, visits: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One gradient step on some tokens, in place."""
-    g = np.exp(class_logs(model, weights, rows)).astype(np.float32)
+    g = logits(model, weights, rows)
+    np.exp(g, out=g)
+    g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(g)), target] -= 1
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], flat[order][1:] != flat[order][:-1])))
-    at = flat[order][first]
-    total = np.add.reduceat(g[order // rows.shape[1]], first, axis=0)
+    line = flat[order]
+    first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+    at = line[first]
+    total = np.add.reduceat(g[order % rows.shape[1]], first, axis=0)
     squares[at] += total * total
     weights[at] -= STEP * total / np.sqrt(squares[at] + 1e-6)
     visits[at] += np.diff(np.append(first, len(flat)))
@@ -233,7 +247,7 @@ def _round(texts: DataFrame, model: Model) -> np.ndarray:
                 flat, lengths, _ = _encode(run, ids, tail)
                 rows, target = features(flat, lengths, tail + 1), m.classes[flat]
                 for s in range(0, len(flat), BATCH):
-                    learn(m, w, squares, visits, rows[s:s + BATCH], target[s:s + BATCH])
+                    learn(m, w, squares, visits, rows[:, s:s + BATCH], target[s:s + BATCH])
         at = np.flatnonzero(visits)
         moved = (w[at] - m.weights[at]) * visits[at, None]
         yield pa.RecordBatch.from_pydict({"row": pa.array(at.astype(np.int32)), "n": pa.array(visits[at]),
@@ -265,8 +279,7 @@ def _partial(shared) -> Column:
                 rows, target = features(flat, lengths, tail + 1), m.classes[flat]
                 logs = np.empty(len(flat))
                 for s in range(0, len(flat), BATCH):
-                    y = class_logs(m, m.weights, rows[s:s + BATCH])
-                    logs[s:s + BATCH] = y[np.arange(len(y)), target[s:s + BATCH]]
+                    logs[s:s + BATCH] = class_logs(m, m.weights, rows[:, s:s + BATCH], target[s:s + BATCH])
                 logs += m.within[flat]
                 at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 sums["score"].append(np.add.reduceat(logs, at) / math.log(10))
