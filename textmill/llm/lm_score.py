@@ -11,6 +11,7 @@ entropy solution is the word's smoothed share of its class.
 
 Everything is gathered from all training documents: word counts, the classes'
 profiles, and the weights, for which every training document is visited once.
+Texts are encoded once, and training and scoring read the ids.
 Training goes in rounds over disjoint parts of the documents: tasks start from
 the broadcast weights, make gradient steps on their rows, and their changes
 are averaged row by row.  What is broadcast is bounded by FREQUENT and ROWS;
@@ -23,7 +24,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,7 @@ def word_counts(texts: DataFrame, flush: int = 1_000_000) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """What the tasks need; ids are places in ``frequent``."""
-    frequent: list[bytes]
+    """What the tasks need; ids are places among the frequent words."""
     counts: np.ndarray       # of the frequent words
     total: int               # N
     distinct: int            # V
@@ -82,9 +82,6 @@ class Model:
     bias: np.ndarray         # by class
     weights: np.ndarray      # ROWS x CLASSES
 
-    def ids(self) -> dict[bytes, int]:
-        return {w: k for k, w in enumerate(self.frequent)}
-
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + SMOOTH) / (self.total + SMOOTH * (self.distinct + 1)))
 
@@ -120,11 +117,39 @@ def class_logs(model: Model, weights: np.ndarray, rows: np.ndarray, target: np.n
     return mine - np.log(np.exp(y, out=y).sum(axis=1))
 
 
-def _encode(texts: list[bytes], ids: dict[bytes, int], tail: int) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    tokens = [[*words(t), END] for t in texts]
-    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    flat = np.fromiter(map(ids.get, chain.from_iterable(tokens), repeat(tail)), np.uint32, int(lengths.sum()))
-    return flat, lengths, tokens
+_ENCODED = "struct<ids:binary,rare:array<struct<word:binary,n:int>>>"
+
+
+def encode(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
+    """``docs`` with its text column ``body`` replaced by the ids of its
+    tokens (32 bits each; the number of frequent words stands for any other
+    word) and the list of its other words with how often they occur."""
+    shared, tail = docs.sparkSession.sparkContext.broadcast(frequent), len(frequent)
+
+    @F.arrow_udf(_ENCODED)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ids = {w: k for k, w in enumerate(shared.value)}
+        for batch in texts:
+            out, rare_word, rare_n, ends = [], [], [], [0]
+            for t in batch.to_pylist():
+                tok = [*words(t), END]
+                mine = np.fromiter(map(ids.get, tok, repeat(tail)), np.uint32, len(tok))
+                out.append(mine.tobytes())
+                c = Counter([tok[j] for j in np.flatnonzero(mine == tail).tolist()])
+                rare_word += c
+                rare_n += c.values()
+                ends.append(len(rare_word))
+            items = pa.StructArray.from_arrays([pa.array(rare_word, pa.binary()), pa.array(rare_n, pa.int32())], ["word", "n"])
+            yield pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
+                                             ["ids", "rare"])
+
+    return docs.select(*[c for c in docs.columns if c != "body"], run("body").alias("e")).select(
+        *[c for c in docs.columns if c != "body"], "e.*")
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, number of tokens of each) of encoded texts."""
+    return np.frombuffer(b"".join(texts), np.uint32), np.fromiter(map(len, texts), np.int64, len(texts)) // 4
 
 
 def _slices(batch: pa.Array, most: int = 1 << 20) -> Iterator[list[bytes]]:
@@ -143,15 +168,14 @@ def _slices(batch: pa.Array, most: int = 1 << 20) -> Iterator[list[bytes]]:
 def _profiles(texts: DataFrame, model: Model) -> np.ndarray:
     """For every frequent word the sum, over its occurrences, of the profile
     of the document: its commonest words' shares in PROFILE hashed buckets."""
-    shared, tail = texts.sparkSession.sparkContext.broadcast(model), len(model.frequent)
+    tail = len(model.counts)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value.ids()
         bucket = np.arange(256, dtype=np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(29)
         total = np.zeros((tail + 1, PROFILE))
         for b in batches:
             for run in _slices(b.column(0)):
-                flat, lengths, _ = _encode(run, ids, tail)
+                flat, lengths = _tokens(run)
                 doc = np.repeat(np.arange(len(lengths)), lengths)
                 common = flat < 256
                 cell = doc[common] * PROFILE + bucket[flat[common]]
@@ -163,7 +187,7 @@ def _profiles(texts: DataFrame, model: Model) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"id": pa.array(at.astype(np.int32)), **{f"s{k}": pa.array(total[at, k].astype(np.float32)) for k in range(PROFILE)}})
 
     schema = ", ".join(["id int", *(f"s{k} float" for k in range(PROFILE))])
-    got = (texts.select("body").mapInArrow(gather, schema).groupBy("id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(PROFILE))).toPandas())
+    got = (texts.select("ids").mapInArrow(gather, schema).groupBy("id").agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(PROFILE))).toPandas())
     out = np.zeros((tail, PROFILE))
     out[got["id"].to_numpy()] = got[[f"s{k}" for k in range(PROFILE)]].to_numpy()
     return out
@@ -184,11 +208,10 @@ def _cluster(points: np.ndarray, weight: np.ndarray, k: int, steps: int = 15) ->
     return own
 
 
-def train(texts: DataFrame, counts: DataFrame) -> Model:
-    """A model of the rows of ``texts`` (id, body), which are the training
-    documents; ``counts``: their word counts."""
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    step = F.floor(8 * F.log2("c")).cast("int")  # at most 8 * 63 steps of frequency
+def frequent_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """At most FREQUENT words (whole steps of frequency from the top) and
+    their counts, the commonest first."""
+    step = F.floor(8 * F.log2("c")).cast("int")  # at most 8 * 63 steps
     sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
     least, room = None, FREQUENT
     for r in sizes:
@@ -198,9 +221,14 @@ def train(texts: DataFrame, counts: DataFrame) -> Model:
     top = counts.where(step >= least).toPandas() if least is not None else counts.limit(0).toPandas()
     top["word"] = top["word"].map(bytes)
     top = top.sort_values(["c", "word"], ascending=[False, True])
-    c = top["c"].to_numpy(np.int64)
+    return top["word"].tolist(), top["c"].to_numpy(np.int64)
+
+
+def train(texts: DataFrame, c: np.ndarray, total: int, distinct: int) -> Model:
+    """A model of the rows of ``texts`` (id, ids), the encoded training
+    documents; c: counts of the frequent words; total, distinct: of all."""
     n = len(c)
-    model = Model(top["word"].tolist(), c, total, distinct, np.zeros(n + 1, np.int64), np.zeros(n + 1), total - int(c.sum()),
+    model = Model(c, total, distinct, np.zeros(n + 1, np.int64), np.zeros(n + 1), total - int(c.sum()),
                   distinct - n, np.zeros(CLASSES, np.float32), np.zeros((ROWS, CLASSES), np.float32))
     classes = np.zeros(n + 1, np.int64)
     if n:
@@ -236,15 +264,15 @@ def learn(model: Model, weights: np.ndarray, squares: np.ndarray, visits: np.nda
 
 
 def _round(texts: DataFrame, model: Model) -> np.ndarray:
-    shared, tail = texts.sparkSession.sparkContext.broadcast(model), len(model.frequent)
+    shared, tail = texts.sparkSession.sparkContext.broadcast(model), len(model.counts)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        ids, w = m.ids(), m.weights.copy()
+        w = m.weights.copy()
         squares, visits = np.full_like(w, 1.0), np.zeros(ROWS)
         for b in batches:
             for run in _slices(b.column(0)):
-                flat, lengths, _ = _encode(run, ids, tail)
+                flat, lengths = _tokens(run)
                 rows, target = features(flat, lengths, tail + 1), m.classes[flat]
                 for s in range(0, len(flat), BATCH):
                     learn(m, w, squares, visits, rows[:, s:s + BATCH], target[s:s + BATCH])
@@ -254,28 +282,27 @@ def _round(texts: DataFrame, model: Model) -> np.ndarray:
                                           **{f"d{k}": pa.array(moved[:, k].astype(np.float64)) for k in range(CLASSES)}})
 
     schema = ", ".join(["row int", "n double", *(f"d{k} double" for k in range(CLASSES))])
-    got = (texts.select("body").mapInArrow(local, schema).groupBy("row")
+    got = (texts.select("ids").mapInArrow(local, schema).groupBy("row")
            .agg(*((F.sum(f"d{k}") / F.sum("n")).alias(f"d{k}") for k in range(CLASSES))).toPandas())  # at most ROWS rows
     out = model.weights.copy()
     out[got["row"].to_numpy()] += got[[f"d{k}" for k in range(CLASSES)]].to_numpy(np.float32)
     return out
 
 
-_PART = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double,rare:array<struct<word:binary,n:int>>>"
+_PART = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double>"
 
 
 def _partial(shared) -> Column:
     @F.arrow_udf(_PART)
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """Sums over frequent words and over classes; rare words are listed."""
+        """Sums over frequent words and over classes."""
         m = shared.value
-        ids, tail = m.ids(), len(m.frequent)
+        tail = len(m.counts)
         base = np.append(m.base(m.counts), 0.0)
         for batch in texts:
             sums = defaultdict(list)
-            rare_word, rare_n, ends = [], [], [0]
             for part in _slices(batch):
-                flat, lengths, tokens = _encode(part, ids, tail)
+                flat, lengths = _tokens(part)
                 rows, target = features(flat, lengths, tail + 1), m.classes[flat]
                 logs = np.empty(len(flat))
                 for s in range(0, len(flat), BATCH):
@@ -286,20 +313,11 @@ def _partial(shared) -> Column:
                 sums["base"].append(np.add.reduceat(base[flat], at))
                 sums["known"].append(np.add.reduceat((flat < tail).astype(np.int64), at))
                 sums["n"].append(lengths)
-                for k, tok in enumerate(tokens):
-                    mine = flat[at[k]:at[k] + lengths[k]] == tail
-                    if mine.any():
-                        c = Counter(tok[j] for j in np.flatnonzero(mine).tolist())
-                        rare_word += c
-                        rare_n += c.values()
-                    ends.append(len(rare_word))
             n, known, b, s = (np.concatenate(sums[x]) if sums[x] else np.empty(0) for x in ("n", "known", "base", "score"))
-            items = pa.StructArray.from_arrays([pa.array(rare_word, pa.binary()), pa.array(rare_n, pa.int32())], ["word", "n"])
-            yield pa.StructArray.from_arrays(
-                [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(b, pa.float64()), pa.array(s, pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)], ["n_tokens", "n_known", "base", "score", "rare"])
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(b, pa.float64()),
+                                              pa.array(s, pa.float64())], ["n_tokens", "n_known", "base", "score"])
 
-    return run(F.col("body"))
+    return run(F.col("ids"))
 
 
 def score_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -312,21 +330,22 @@ def score_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result; other columns are not read."""
     held = F.coalesce(crc_mod(id_col, 10) == 0, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), held.alias("held_out"), text_bytes(text_col).alias("body"))
-    texts = rows.where(~F.col("held_out"))
-    counts = stored(word_counts(texts), "lm-counts")
-    model = train(texts, counts)
+    counts = stored(word_counts(rows.where(~F.col("held_out"))), "lm-counts")
+    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    frequent, c = frequent_words(counts)
+    encoded = stored(encode(rows, frequent).withColumn("row", F.monotonically_increasing_id()), "lm-encoded")
+    model = train(encoded.where(~F.col("held_out")), c, total, distinct)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    parts = stored(rows.select("id", "held_out", _partial(shared).alias("p")).select("id", "held_out", "p.*")
-                   .withColumn("row", F.monotonically_increasing_id()), "lm-parts")
+    parts = encoded.select("id", "held_out", "row", _partial(shared).alias("p")).select("id", "held_out", "row", "p.*")
     # rare words: their counts come by a join; the row numbers are those written
-    rare = parts.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
+    rare = encoded.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n").join(counts, "word", "left")
     c, n = F.coalesce("c", F.lit(0)), F.col("n")
     whole = model.total + SMOOTH * (model.distinct + 1)
     tail = model.tail_total + SMOOTH * (model.tail_distinct + 1)
     more = rare.groupBy("row").agg(F.sum(n * F.log10((c + SMOOTH) / whole)).alias("more_base"),
                                    F.sum(n * F.log10((c + SMOOTH) / tail)).alias("more_score"),
                                    F.sum(F.when(c > 0, n).otherwise(0)).alias("more_known"))
-    out = parts.drop("rare").join(more, "row", "left")
+    out = parts.join(more, "row", "left")
     zero = F.lit(0.0)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens",
                       (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
