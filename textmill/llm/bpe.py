@@ -33,7 +33,7 @@ from .token_count import MEMO_ENTRIES, Vocabulary, segments, vocabulary
 
 AVERAGE = 2048             # characters of a chunk, a power of two
 LONGEST = 16 * AVERAGE     # a chunk is cut there at the latest
-CACHE_CHARS = 12_000_000   # characters of chunks held by a worker, twice this at most
+CACHE_CHARS = 6_000_000    # characters of chunks held by a worker, twice this at most
 HEAD, TAIL = 4, 2          # pre-tokens of a chunk looked at first at a join; distrusted at its end
 
 
@@ -230,7 +230,7 @@ def decode(vocab: Broadcast, ids: str | Column = "ids") -> Column:
     def run(lists_: Iterator[pa.Array]) -> Iterator[pa.Array]:
         _, dec = worker_coders(vocab)
         for t in lists_:
-            yield pa.array([dec.decode(x or ()) for x in t.to_pylist()], pa.string())
+            yield pa.array([dec.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in t], pa.string())
 
     return run(F.col(ids) if isinstance(ids, str) else ids)
 

@@ -49,23 +49,34 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def flat(lists: pa.ChunkedArray | pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of lists, without Python numbers."""
+    a = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    at = a.offsets.to_numpy()
+    return a.values.to_numpy()[:at[-1]], at
+
+
 def fit(sample: DataFrame, size: int, outputs: int, s: Settings, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(features, weights) that are not all zero after averaging the shards;
     feature ``size`` is the bias.
 
     ``sample``: id (any order-giving long), features array<int> without
-    repeats, vals array<float>, target int (0/1 for one output, else the
-    class).  The caller bounds the number of rows."""
+    repeats, target int (0/1 for one output, else the class) and, unless all
+    values are one, vals array<float>.  The caller bounds the number of rows."""
     def learn(t: pa.Table) -> pa.Table:
-        order = np.argsort(t.column("id").to_numpy(), kind="stable")
-        feats, values, target = (t.column(c) for c in ("features", "vals", "target"))
-        rows = [(np.append(np.array(feats[int(k)].as_py(), np.int64), size), np.append(np.array(values[int(k)].as_py(), np.float64), 1.0),
-                 target[int(k)].as_py()) for k in order]
+        t = t.combine_chunks()
+        target = t.column("target").to_numpy()
+        feats, at = flat(t.column("features"))
+        values = flat(t.column("vals"))[0] if "vals" in t.column_names else None
+        rows = [(at[k], at[k + 1], target[k]) for k in np.argsort(t.column("id").to_numpy(), kind="stable")]
         model, rng, eye = Ftrl(size + 1, outputs, s), np.random.default_rng(seed), np.eye(max(outputs, 2))
         for _ in range(s.epochs):
             for k in rng.permutation(len(rows)):
-                at, value, y = rows[k]
-                model.learn(at, value, np.array([float(y)]) if outputs == 1 else eye[y])
+                first, end, y = rows[k]
+                value = np.ones(end - first + 1)
+                if values is not None:
+                    value[:-1] = values[first:end]
+                model.learn(np.append(feats[first:end], size), value, np.array([float(y)]) if outputs == 1 else eye[y])
         w = model.weights(slice(None))
         used = np.flatnonzero(np.abs(w).sum(axis=1))
         return pa.table({"feature": pa.array(used, pa.int32()), **{f"w{c}": pa.array(w[used, c]) for c in range(outputs)}})

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from . import pretokens
 from .common import text_bytes
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 
 
 class Vocabulary:

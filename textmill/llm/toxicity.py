@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, stored, text_bytes
 from .decontam import words
-from .ftrl import Settings, bounded, fit
+from .ftrl import Settings, bounded, fit, flat
 
 BITS = 20
 SAMPLE_ROWS = 40_000  # labelled rows to learn from, at most about so many
@@ -67,7 +67,7 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from the documents whose crc32(doc_id as text) mod 3 is not 1 and
     that have a non-null ``toxic`` label; of repeated labels the largest
-    counts.  Without such rows the model scores 0.5 everywhere."""
+    counts, and repeated documents count as often as they stand.  Without such rows the model scores 0.5 everywhere."""
     known = (labels.where("toxic is not null and doc_id is not null").where(crc_mod("doc_id", 3) != 1)
              .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("target")))
     picked = bounded(known, "doc_id", sample_rows, "toxicity")  # an id and a bit for each of a bounded number of rows
@@ -78,10 +78,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for t in texts:
             yield pa.array([np.unique(grams(x, hashes)).astype(np.int32) for x in t.to_pylist()], pa.list_(pa.int32()))
 
-    ones = F.transform("features", lambda _: F.lit(1.0).cast("float"))
     rows = (docs.select("doc_id", text_bytes().alias("body")).join(F.broadcast(picked), "doc_id")
-            .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), features("body").alias("features"), "target")
-            .withColumn("vals", ones))
+            .select(F.col("doc_id").alias("id"), features("body").alias("features"), "target"))
     sample = stored(rows, "toxicity-sample")
     at, _ = fit(sample, 1 << BITS, 1, CHOICE)
     chosen = np.zeros((1 << BITS) + 1, bool)
@@ -90,11 +88,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     @F.arrow_udf("array<int>")
     def left(features: pa.Array) -> pa.Array:
-        rows = [np.array(x, np.int32) for x in features.to_pylist()]
-        return pa.array([x[mask.value[x]] for x in rows], pa.list_(pa.int32()))
+        values, at = flat(features)
+        kept = mask.value[values]
+        ends = np.concatenate(([0], np.cumsum(kept)))[at]
+        return pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), pa.array(values[at[0]:][kept[at[0]:]].astype(np.int32)))
 
     light = sample.select("id", left("features").alias("features"), "target")
-    at, w = fit(light.withColumn("vals", ones), 1 << BITS, 1, REFIT)
+    at, w = fit(light, 1 << BITS, 1, REFIT)
     own = at < 1 << BITS
     return Model(at[own], w[own, 0], float(w[~own, 0].sum()))
 
