@@ -86,3 +86,16 @@ def test_sigmoid_softmax(spark):
     r = spark.createDataFrame([([1.0, 3.0, 2.0],)], "a array<double>").select(
         FT.argmax("a").alias("i"), F.array_max(FT.softmax("a")).alias("p"), FT.sigmoid(F.lit(1000.0)).alias("s")).first()
     assert r.i == 1 and abs(r.p - 0.665240955) < 1e-6 and r.s == 1.0
+
+
+def test_long_tags_do_not_recurse(spark):
+    long = ["hi <a " + "x" * 200_000, "hi <a " + "x " * 100_000 + "> end", "hi <a href='" + "y" * 100_000 + "'>end</a>", "</p" + " " * 100_000]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(long)], "k int, t string")
+    got = [r["o"] for r in df.select("k", T.html_to_text("t").alias("o")).orderBy("k").collect()]
+    assert got[0] == long[0] and got[1] == "hi   end" and got[2] == "hi  end " and got[3] == long[3]
+
+
+def test_labels_are_stripped_of_any_white_space(spark):
+    raw = ["spam\n", "\tham", "spam\r", "\u00a0Safe Email ", "sp am", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(raw)], "k int, t string")
+    assert [r["o"] for r in df.select("k", T.standardise_label("t").alias("o")).orderBy("k").collect()] == [1, 0, 1, 0, None, None]

@@ -48,7 +48,7 @@ def label_map_column() -> Column:
 
 def standardise_label(raw) -> Column:
     """``str -> lower -> strip -> lookup``; unknown spellings become null."""
-    key = F.lower(F.trim(_col(raw).cast("string")))
+    key = F.lower(F.regexp_replace(_col(raw).cast("string"), f"^[{WS_CLASS}]+|[{WS_CLASS}]+$", ""))
     return label_map_column()[key].cast("int")
 
 
@@ -77,7 +77,11 @@ def qp_repair(c) -> Column:
 # HTML to text
 # ---------------------------------------------------------------------------
 
-_TAG = r"""<[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|</[a-zA-Z][^>]*>"""
+# Possessive: Java's regex recurses for each turn of a loop over alternatives,
+# so a long tag, or one without an end, must neither loop by character nor
+# backtrack.  What follows an alternative is never one of its own characters,
+# so nothing is lost.
+_TAG = r"""<[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</[a-zA-Z][^>]*+>"""
 
 
 def _entity_decode(s: Column) -> Column:

@@ -130,25 +130,16 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
               .drop("features", "rawPrediction", "probability", "prediction")
 
 
-# Rows per partition when fitting a classifier: iterative solvers aggregate a
-# dense gradient per partition per iteration, so a small training set spread
-# over many partitions pays that cost many times.  Large sets keep many
-# partitions (one per ROWS_PER_PARTITION rows).
-ROWS_PER_PARTITION = 20000
-
-
 def fit_model(kind: str, train: DataFrame, n_train: int | None = None, max_features: int = 20000,
               ngram_max: int = 2, **kw) -> PipelineModel:
-    """Featurizer fit -> features sized to the data -> classifier fit;
+    """Featurizer fit -> features over all slots -> classifier fit;
     returns one ``PipelineModel`` (featurizer stages + classifier)."""
     n = train.count() if n_train is None else n_train
     scaler = "minmax" if kind == "naive_bayes" else "standard"
     feat = TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max, scaler=scaler).fit(train)
     x = feat.transform(train).select("features", "label", *([kw["weight_col"]] if kw.get("weight_col") else []))
-    parts = max(1, min(x.rdd.getNumPartitions(), -(-n // ROWS_PER_PARTITION)))
-    # repartition, not coalesce: coalesce would also pull the upstream
-    # tokenization into ``parts`` tasks; the shuffle moves only the vectors.
-    x = x.repartition(parts).cache()
+    # One task for each slot of the session; the shuffle moves only the vectors.
+    x = x.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
     try:
         clf = classifier(kind, n, **kw).fit(x)
     finally:

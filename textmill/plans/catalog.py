@@ -134,12 +134,15 @@ _ENTITY_SQL = ("replace(replace(replace(replace(replace(replace(replace({x}, '&q
                "'&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&')")
 
 
+_TAG_SQL = r"""</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>"""
+
+
 def _html_sql(x: str) -> str:
     t = f"regexp_replace({x}, '(?is)<(script)\\b[^>]*>.*?</script\\s*>', ' ', 'g')"
     t = f"regexp_replace({t}, '(?is)<(style)\\b[^>]*>.*?</style\\s*>', ' ', 'g')"
     t = f"regexp_replace({t}, '(?s)<!--.*?(-->|$)', ' ', 'g')"
     t = f"regexp_replace({t}, '<![^>]*>|<\\?[^>]*>', ' ', 'g')"
-    t = f"regexp_replace({t}, {S.q(T._TAG)}, ' ', 'g')"
+    t = f"regexp_replace({t}, {S.q(_TAG_SQL)}, ' ', 'g')"
     return _ENTITY_SQL.format(x=t)
 
 

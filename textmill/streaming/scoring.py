@@ -28,9 +28,9 @@ def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, glo
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Run the scorer over the files in ``source_dir`` matching ``glob`` as a
     stream (availableNow), write parquet to ``out_dir``, return it."""
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{glob}").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-              .option("maxFilesPerTrigger", 1).parquet(source_dir))
+    path = f"{source_dir.rstrip('/')}/{glob}"  # a file, a folder of part files, or a pattern of either
+    stream = (spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1)
+              .option("basePath", source_dir).parquet(path))
     scored = scored_view(model, stream, id_col, text_col)
     q = (scored.writeStream.format("parquet").option("path", out_dir + "/data")
          .option("checkpointLocation", out_dir + "/_checkpoint").outputMode("append")
