@@ -194,20 +194,34 @@ class Decoder:
 
 
 @functools.lru_cache(maxsize=1)
-def _coders(source: str, vocab: Broadcast) -> tuple[Encoder, Decoder]:
-    return Encoder(vocab.value), Decoder(vocab.value)
+def _encoder(source: str, vocab: Broadcast) -> Encoder:
+    return Encoder(vocab.value)
 
 
-def worker_coders(vocab: Broadcast) -> tuple[Encoder, Decoder]:
-    """One encoder (with its chunk cache) and decoder for all tasks that a
-    Python worker runs."""
-    return _coders(vocab.value.source, vocab)
+@functools.lru_cache(maxsize=1)
+def _decoder(source: str, vocab: Broadcast) -> Decoder:
+    return Decoder(vocab.value)
+
+
+def worker_encoder(vocab: Broadcast) -> Encoder:
+    """One encoder, with its chunk cache, for all tasks of a Python worker."""
+    return _encoder(vocab.value.source, vocab)
+
+
+def worker_decoder(vocab: Broadcast) -> Decoder:
+    return _decoder(vocab.value.source, vocab)
+
+
+def portions(a: pa.Array, rows: int = 500) -> Iterator[pa.Array]:
+    """A batch in short runs, so that only few results are held at once."""
+    for s in range(0, len(a), rows):
+        yield a.slice(s, rows)
 
 
 def lists(values: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
-    flat = np.concatenate(values) if values else np.empty(0, np.uint32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+    flat = np.concatenate(values) if values else np.empty(0, "<u4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int32)))
 
 
 def encode(vocab: Broadcast, text: str | Column = "text") -> Column:
@@ -216,9 +230,10 @@ def encode(vocab: Broadcast, text: str | Column = "text") -> Column:
     inside the text become those tokens.  Null or empty: an empty array."""
     @F.arrow_udf("array<int>")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc, _ = worker_coders(vocab)
+        enc = worker_encoder(vocab)
         for t in texts:
-            yield lists([enc.encode(x.decode()) for x in t.to_pylist()])
+            for some in portions(t):
+                yield lists([enc.encode(x.decode()) for x in some.to_pylist()])
 
     return run(text_bytes(text))
 
@@ -228,9 +243,10 @@ def decode(vocab: Broadcast, ids: str | Column = "ids") -> Column:
     Null: an empty text.  Unknown ids are an error."""
     @F.arrow_udf("string")
     def run(lists_: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        _, dec = worker_coders(vocab)
+        dec = worker_decoder(vocab)
         for t in lists_:
-            yield pa.array([dec.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in t], pa.string())
+            for some in portions(t):
+                yield pa.array([dec.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in some], pa.string())
 
     return run(F.col(ids) if isinstance(ids, str) else ids)
 

@@ -30,7 +30,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
     def digests(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc, dec = bpe.worker_coders(vocab)
+        enc, dec = bpe.worker_encoder(vocab), bpe.worker_decoder(vocab)
         decimal = {i: b"%d" % i for i in dec.bytes}
         for t in texts:
             n, ids_sha, text_sha = [], [], []
