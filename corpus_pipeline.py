@@ -43,10 +43,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, round_trip): round_trip tells whether the
     decoded ids are the text."""
     vocab = token_count.vocabulary(spark, public_tokenizers.path(TOKENIZER))
-    text = F.coalesce("text", F.lit(""))
-    return (docs.select("doc_id", text.alias("body"), bpe.encode(vocab, "text").alias("ids"))
-            .select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                    (bpe.decode(vocab, "ids") == F.col("body")).alias("round_trip")))
+    return (docs.select("doc_id", bpe.encode_checked(vocab, "text").alias("r"))
+            .select("doc_id", "r.ids", F.size("r.ids").cast("long").alias("n_tokens"), "r.round_trip"))
 
 
 STAGES = [

@@ -29,11 +29,12 @@ from tokenizers import Tokenizer
 
 from . import pretokens
 from .common import text_bytes
-from .token_count import MEMO_ENTRIES, Vocabulary, segments, vocabulary
+from .token_count import Vocabulary, segments, vocabulary
 
 AVERAGE = 2048             # characters of a chunk, a power of two
 LONGEST = 16 * AVERAGE     # a chunk is cut there at the latest
-CACHE_CHARS = 6_000_000    # characters of chunks held by a worker, twice this at most
+CACHE_CHARS = 3_000_000    # characters of chunks held by a worker, twice this at most
+MEMO_ENTRIES = 150_000     # pre-tokens whose ids a worker holds
 HEAD, TAIL = 4, 2          # pre-tokens of a chunk looked at first at a join; distrusted at its end
 
 
@@ -251,6 +252,22 @@ def decode(vocab: Broadcast, ids: str | Column = "ids") -> Column:
     return run(F.col(ids) if isinstance(ids, str) else ids)
 
 
+def encode_checked(vocab: Broadcast, text: str | Column = "text") -> Column:
+    """A column: struct of ids (see encode) and round_trip, whether decoding
+    them gives the text back."""
+    @F.arrow_udf("struct<ids:array<int>,round_trip:boolean>")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        enc, dec = worker_encoder(vocab), worker_decoder(vocab)
+        for t in texts:
+            for some in portions(t):
+                body = [x.decode() for x in some.to_pylist()]
+                ids = [enc.encode(x) for x in body]
+                same = [dec.decode(i.tolist()) == x for i, x in zip(ids, body)]
+                yield pa.StructArray.from_arrays([lists(ids), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    return run(text_bytes(text))
+
+
 def encode_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids), a row for every row of ``docs``; other columns are not read."""
     v = vocabulary(docs.sparkSession, tokenizer_path)
