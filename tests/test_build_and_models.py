@@ -47,11 +47,46 @@ def test_models_fit_score_persist(spark):
     assert a == b
 
 
-def test_cross_validation(spark):
+def test_published_grids():
+    assert {k: len(MD.default_grid(k)) for k in MD.KINDS} == {
+        "logistic_regression": 16, "linear_svc": 16, "sgd_hinge": 24, "naive_bayes": 12}
+
+
+def _word_rows(spark, n=120):
+    """Spam says offer, ham says meeting, beside words that both have."""
+    rows = [(i, i % 2, f"please read number{i} {'offer prize' if i % 2 else 'meeting agenda'} today") for i in range(n)]
+    return spark.createDataFrame(rows, "record_id long, label int, text string")
+
+
+def test_term_stats_equal_counts_by_document(spark):
+    from textmill.operators import tfidf as TF
+    terms = spark.createDataFrame([(1, ["b", "a", "b"]), (2, ["b"]), (3, []), (4, None)], "doc_id int, terms array<string>")
+    assert sorted(map(tuple, TF.term_stats(terms).collect())) == [("a", 1, 1), ("b", 2, 3)]
+
+
+def test_tuning_beats_the_majority_class(spark):
     from textmill.operators import sampling as SM
-    df = SM.stratified_folds(_ml_frames(spark), k=3).cache()
-    res = MD.cross_validate("naive_bayes", df, max_features=300, grid=MD.default_grid("naive_bayes"))
-    assert len(res) == 3 and all(0 <= m <= 1 and s >= 0 for _, m, s in res)
+    train = SM.stratified_folds(_word_rows(spark), k=2).cache()
+    test = _word_rows(spark, 20)
+    grids = {"logistic_regression": [{"C": 1.0, "max_features": 50, "ngram_max": 1, "balanced": b} for b in (False, True)],
+             "naive_bayes": [{"nb_alpha": a, "max_features": 50, "ngram_max": 1} for a in (0.5, 1.0)]}
+    got = MD.tune_all(train, test, tuple(grids), grids=grids)
+    assert [r["model_name"] for r in got] == list(grids) and sum(r["is_best"] for r in got) == 1
+    assert all(r["accuracy"] > 0.9 and r["cv_score"] > 0.9 and r["best_params"] in grids[r["model_name"]] for r in got)
+
+
+def test_learning_curve(spark):
+    from textmill.operators import sampling as SM
+    train = SM.stratified_folds(_word_rows(spark), k=2).cache()
+    got = MD.learning_curve(["naive_bayes"], train, fractions=(0.5, 1.0), max_features=50, ngram_max=1)
+    assert [r[1] for r in got] == [0.5, 1.0] and got[-1][2] == 60 and got[-1][4] > 0.9
+
+
+def test_any_estimator_fits_the_slot(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    df = _word_rows(spark)
+    model = MD.fit_model(DecisionTreeClassifier(maxDepth=3, maxBins=8), df, max_features=20, ngram_max=1)
+    assert MD.score(model, df).filter("pred_label != label").count() == 0
 
 
 def test_stream_equals_batch(spark):

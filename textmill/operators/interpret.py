@@ -44,10 +44,8 @@ def normalise_weights(df: DataFrame, doc: str = "doc_id", weight: str = "weight"
 
 
 def contributions(tfidf_long: DataFrame, coef: DataFrame, doc: str = "doc_id", term: str = "term",
-                  k: int = 15, small_coef: bool = True) -> DataFrame:
+                  k: int = 15) -> DataFrame:
     """Per-document top-k terms by ``tfidf * coefficient`` (linear model
-    explanation).  ``coef``: (term, coef); broadcast when its size is bounded
-    by the vocabulary limit."""
-    c = F.broadcast(coef) if small_coef else coef
-    j = tfidf_long.join(c, term).withColumn("weight", F.col("tfidf") * F.col("coef"))
+    explanation).  ``coef``: (term, coef)."""
+    j = tfidf_long.join(coef, term).withColumn("weight", F.col("tfidf") * F.col("coef"))
     return top_terms(j, doc, term, "weight", k)

@@ -12,24 +12,32 @@ held-out rows).
 
 from __future__ import annotations
 
+import itertools
 import time
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, MaxAbsScaler, Normalizer, SQLTransformer,
-                                StandardScaler, VectorAssembler)
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer, StandardScaler,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import PUNCT_CLASS, WORD_CLASS, WS_CLASS, english_stop_words
+from ..functions.constants import (LEARNING_FRACTIONS, PUNCT_CLASS, SEED, WORD_CLASS, WS_CLASS,
+                                   english_stop_words)
 from . import metrics as MT
+from . import sampling as SM
 from . import tfidf as TF
 
 NUMERIC = ["word_count", "punct_count", "upper_count"]
+KINDS = ("logistic_regression", "linear_svc", "sgd_hinge", "naive_bayes")
+MAX_FEATURES = 40000  # vocabulary of the untuned models
+PARALLEL = 4          # fits that run at the same time, each over all slots
 
 
 def _sql_str(s: str) -> str:
@@ -61,38 +69,60 @@ class TfidfFeaturizer(Estimator, HasInputCol, HasOutputCol):
     scaler = Param(Params._dummy(), "scaler", "'standard' or 'minmax'", typeConverter=TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCol="text", outputCol="features", maxFeatures=20000, ngramMax=2, scaler="standard"):
+    def __init__(self, inputCol="text", outputCol="features", maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard"):
         super().__init__()
-        self._setDefault(maxFeatures=20000, ngramMax=2, scaler="standard", inputCol="text", outputCol="features")
+        self._setDefault(maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard", inputCol="text", outputCol="features")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         text, out = self.getInputCol(), self.getOutputCol()
         k, n_max, scaler = self.getOrDefault(self.maxFeatures), self.getOrDefault(self.ngramMax), self.getOrDefault(self.scaler)
         sqlt = SQLTransformer(statement=terms_sql(text, (1, n_max)))
-        with_terms = sqlt.transform(df).withColumn("_doc", F.monotonically_increasing_id())
-        tf = TF.term_counts(with_terms.select(F.col("_doc").alias("doc_id"), "terms"))
-        vocab = TF.idf_table(TF.fit_vocabulary(tf, k), df).orderBy("term_index").select("term", "idf").collect()
+        stats = TF.term_stats(sqlt.transform(df).select("terms"))
+        vocab = TF.idf_table(TF.top_terms(stats, k), df).orderBy("term_index").select("term", "idf").collect()
         terms = [r["term"] for r in vocab] or ["__empty__"]
         idf = [float(r["idf"]) for r in vocab] or [0.0]
-        cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_tf")
+        cv = _vectorizer(df.sparkSession, terms)
         ep = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf_raw")
         nm = Normalizer(p=2.0, inputCol="_tfidf_raw", outputCol="_tfidf")
         va_num = VectorAssembler(inputCols=NUMERIC, outputCol="_num")
-        # Naive Bayes needs non-negative features on unseen rows too: the
-        # metadata counts are >= 0, so scaling by the max keeps them >= 0.
-        sc = (MaxAbsScaler(inputCol="_num", outputCol="_num_scaled") if scaler == "minmax"
-              else StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_num_scaled"))
+        sc = [StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_num_scaled")]
+        if scaler == "minmax":
+            sc = [_minmax_stage(sqlt.transform(df)), VectorAssembler(inputCols=[f"_mm_{c}" for c in NUMERIC], outputCol="_num_scaled")]
         va = VectorAssembler(inputCols=["_tfidf", "_num_scaled"], outputCol=out)
-        drop = SQLTransformer(statement="SELECT * EXCEPT (_toks, _words, terms, _tf, _tfidf_raw, _tfidf, _num, _num_scaled) FROM __THIS__")
-        return Pipeline(stages=[sqlt, cv, ep, nm, va_num, sc, va, drop]).fit(df)
+        own = ["_toks", "_words", "terms", "_tf", "_tfidf_raw", "_tfidf", "_num", "_num_scaled"]
+        own += [f"_mm_{c}" for c in NUMERIC] if scaler == "minmax" else []
+        drop = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(own)}) FROM __THIS__")
+        return Pipeline(stages=[sqlt, cv, ep, nm, va_num, *sc, va, drop]).fit(df)
 
 
-def classifier(kind: str, n_train: int, C: float = 1.0, alpha: float = 1e-4, nb_alpha: float = 1.0,
+def _vectorizer(spark, terms: list[str]) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary`` with the vocabulary sent as one
+    string: that function makes a call to the JVM for every term."""
+    array = spark.sparkContext._jvm.org.apache.commons.lang3.StringUtils.split("\n".join(terms), "\n")
+    cv = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", array)
+    return cv.setInputCol("terms").setOutputCol("_tf")
+
+
+def _minmax_stage(df: DataFrame) -> SQLTransformer:
+    """Scale the metadata counts to 0..1 by the range seen in ``df``; unseen
+    rows stay at 0 or more, as naive Bayes needs, and a constant becomes 0."""
+    r = df.agg(*[f(c).alias(f"{n}_{c}") for c in NUMERIC for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    cols = []
+    for c in NUMERIC:
+        lo, hi = r[f"lo_{c}"] or 0.0, r[f"hi_{c}"] or 0.0
+        cols.append(f"greatest(0D, ({c} - {lo}D) / {hi - lo}D) AS _mm_{c}" if hi > lo else f"0D AS _mm_{c}")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
+
+
+def classifier(kind: str | Estimator, n_train: int, C: float = 1.0, alpha: float = 1e-4, nb_alpha: float = 1.0,
                weight_col: str | None = None):
     """sklearn-style hyper-parameters mapped onto Spark ML:
     LR / SVC regParam = 1 / (C * n); SGD hinge regParam = alpha; the
-    solvers' default tolerance there (1e-4) is kept."""
+    solvers' default tolerance there (1e-4) is kept.  Any other estimator over
+    ``features`` and ``label`` is taken as it is."""
+    if isinstance(kind, Estimator):
+        return kind
     common = dict(featuresCol="features", labelCol="label")
     if weight_col:
         common["weightCol"] = weight_col
@@ -108,10 +138,26 @@ def classifier(kind: str, n_train: int, C: float = 1.0, alpha: float = 1e-4, nb_
     raise ValueError(kind)
 
 
-def model_pipeline(kind: str, n_train: int, max_features: int = 20000, ngram_max: int = 2, **kw) -> Pipeline:
-    scaler = "minmax" if kind == "naive_bayes" else "standard"
-    return Pipeline(stages=[TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max, scaler=scaler),
-                            classifier(kind, n_train, **kw)])
+def featurizer(kind: str | Estimator, max_features: int = MAX_FEATURES, ngram_max: int = 2) -> TfidfFeaturizer:
+    return TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max,
+                           scaler="minmax" if kind == "naive_bayes" else "standard")
+
+
+def balance(df: DataFrame, label: str = "label", out: str = "balance") -> DataFrame:
+    """Class weights n / (classes * n_class) as a column; the few class counts
+    ride along as a scalar subquery."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    table = counts.agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"), F.sum("n").alias("n"),
+                       F.count(F.lit(1)).alias("k"))
+    weight = table.select(F.transform_values("m", lambda _, n: F.col("n") / (F.col("k") * n))).scalar()
+    return df.withColumn(out, F.element_at(weight, F.col(label)))
+
+
+def training_features(feat: PipelineModel, train: DataFrame, balanced: bool) -> DataFrame:
+    """Feature vectors in one task for each slot of the session; the shuffle
+    moves only the vectors."""
+    x = feat.transform(train).select("features", "label")
+    return (balance(x) if balanced else x).repartition(train.sparkSession.sparkContext.defaultParallelism)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -130,18 +176,15 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
               .drop("features", "rawPrediction", "probability", "prediction")
 
 
-def fit_model(kind: str, train: DataFrame, n_train: int | None = None, max_features: int = 20000,
-              ngram_max: int = 2, **kw) -> PipelineModel:
+def fit_model(kind: str | Estimator, train: DataFrame, n_train: int | None = None, max_features: int = MAX_FEATURES,
+              ngram_max: int = 2, balanced: bool = False, **kw) -> PipelineModel:
     """Featurizer fit -> features over all slots -> classifier fit;
     returns one ``PipelineModel`` (featurizer stages + classifier)."""
     n = train.count() if n_train is None else n_train
-    scaler = "minmax" if kind == "naive_bayes" else "standard"
-    feat = TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max, scaler=scaler).fit(train)
-    x = feat.transform(train).select("features", "label", *([kw["weight_col"]] if kw.get("weight_col") else []))
-    # One task for each slot of the session; the shuffle moves only the vectors.
-    x = x.repartition(train.sparkSession.sparkContext.defaultParallelism).cache()
+    feat = featurizer(kind, max_features, ngram_max).fit(train)
+    x = training_features(feat, train, balanced).cache()
     try:
-        clf = classifier(kind, n, **kw).fit(x)
+        clf = classifier(kind, n, weight_col="balance" if balanced else None, **kw).fit(x)
     finally:
         x.unpersist()
     return PipelineModel(stages=[feat, clf])
@@ -160,35 +203,125 @@ def train_and_evaluate(kind: str, train: DataFrame, test: DataFrame, **kw):
     return model, wm, scored
 
 
-def cross_validate(kind: str, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None, **kw):
-    """k-fold CV over a fold column (stratified folds from sampling): for each
-    parameter setting, the whole model (featurizer included, so no
-    vocabulary leakage) is refit on k-1 folds and scored on the held-out
-    fold.  Returns [(params, mean accuracy, population std)]."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    out = []
-    for params in (grid or [{}]):
-        accs = []
-        for f in folds:
-            train, held = df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)
-            model = fit_model(kind, train, **{**kw, **params})
-            sc = score(model, held)
-            accs.append(sc.select(F.avg((F.col("label") == F.col("pred_label")).cast("double"))).first()[0])
-        mean = sum(accs) / len(accs)
-        std = (sum((a - mean) ** 2 for a in accs) / len(accs)) ** 0.5
-        out.append((params, mean, std))
+def _accuracy(clf, x: DataFrame) -> float | None:
+    return clf.transform(x).select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+
+
+def _in_parallel(work: Callable, jobs: Iterable) -> list:
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(work, jobs))
+
+
+def evaluate_cells(cells: list[tuple], train: DataFrame, held: DataFrame, train_score: bool = False) -> list[tuple]:
+    """(train accuracy or None, held-out accuracy) of every (kind, parameters)
+    cell.  The featurizer is fitted on ``train`` once for each scaler and
+    vocabulary setting, and its vectors serve all cells that share it.
+    Without two classes to learn from, a cell has no accuracy."""
+    n, classes = train.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    if classes < 2:
+        return [(None, None)] * len(cells)
+    groups: dict[tuple, list[int]] = {}
+    for i, (kind, params) in enumerate(cells):
+        groups.setdefault((kind == "naive_bayes", params.get("max_features", MAX_FEATURES), params.get("ngram_max", 2)), []).append(i)
+    out: list[tuple] = [(None, None)] * len(cells)
+    for (_, size, ngram), members in groups.items():
+        feat = featurizer(cells[members[0]][0], size, ngram).fit(train)
+        x, y = training_features(feat, train, True).cache(), feat.transform(held).select("features", "label").cache()
+
+        def one(i: int) -> tuple:
+            kind, params = cells[i]
+            rest = {k: v for k, v in params.items() if k not in ("max_features", "ngram_max", "balanced")}
+            clf = classifier(kind, n, weight_col="balance" if params.get("balanced") else None, **rest).fit(x)
+            return _accuracy(clf, x) if train_score else None, _accuracy(clf, y)
+
+        try:
+            x.count(), y.count()
+            for i, got in zip(members, _in_parallel(one, members)):
+                out[i] = got
+        finally:
+            x.unpersist(), y.unpersist()
     return out
 
 
+def _mean_std(values: list) -> tuple[float | None, float | None]:
+    v = [a for a in values if a is not None]
+    if not v:
+        return None, None
+    mean = sum(v) / len(v)
+    return mean, (sum((a - mean) ** 2 for a in v) / len(v)) ** 0.5
+
+
+def _folds(df: DataFrame, fold_col: str) -> list[tuple[DataFrame, DataFrame]]:
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    return [(df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)) for f in folds]
+
+
+def cross_validate_cells(cells: list[tuple], df: DataFrame, fold_col: str = "fold") -> list[tuple]:
+    """k-fold CV over a fold column (stratified folds from sampling) of
+    (kind, parameters) cells; the whole model, featurizer included, learns
+    from k-1 folds and is scored on the held-out one (no vocabulary leakage).
+    Returns (mean accuracy, population std) per cell."""
+    per_fold = [evaluate_cells(cells, train, held) for train, held in _folds(df, fold_col)]
+    return [_mean_std([f[i][1] for f in per_fold]) for i in range(len(cells))]
+
+
+def cross_validate(kind: str | Estimator, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None, **kw):
+    """[(params, mean accuracy, population std)] of one model over a grid."""
+    grid = grid or [{}]
+    return [(g, *r) for g, r in zip(grid, cross_validate_cells([(kind, {**kw, **g}) for g in grid], df, fold_col))]
+
+
 def default_grid(kind: str) -> list[dict]:
-    """Per-model grids (a subset of the published ones), in sklearn terms."""
+    """The published grids: vocabulary size and n-grams for every model, with
+    penalty and class weights (linear models) or smoothing (naive Bayes)."""
+    axes = {"max_features": (10000, 20000), "ngram_max": (1, 2)}
     if kind in ("logistic_regression", "linear_svc"):
-        return [{"C": c} for c in (0.1, 1.0, 10.0)]
-    if kind == "sgd_hinge":
-        return [{"alpha": a} for a in (1e-5, 1e-4, 1e-3)]
-    if kind == "naive_bayes":
-        return [{"nb_alpha": a} for a in (0.1, 0.5, 1.0)]
-    return [{}]
+        axes |= {"C": (0.1, 1.0), "balanced": (False, True)}
+    elif kind == "sgd_hinge":
+        axes |= {"alpha": (1e-4, 1e-3, 1e-2), "balanced": (False, True)}
+    elif kind == "naive_bayes":
+        axes |= {"nb_alpha": (0.1, 0.5, 1.0)}
+    return [dict(zip(axes, v)) for v in itertools.product(*axes.values())]
+
+
+def grid_search(kind: str, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None):
+    """(model refit on all rows with the best cell, its parameters, its mean
+    CV accuracy, all cells); ties go to the first cell of the grid."""
+    cells = cross_validate(kind, df, fold_col, grid or default_grid(kind))
+    params, mean, _ = max(cells, key=lambda c: -1.0 if c[1] is None else c[1])
+    return fit_model(kind, df, **params), params, mean, cells
+
+
+def learning_curve(kinds: Iterable[str], df: DataFrame, fold_col: str = "fold", id_col: str = "record_id",
+                   fractions=LEARNING_FRACTIONS, **kw) -> list[tuple]:
+    """(kind, fraction, mean rows learned from, mean train accuracy, mean
+    held-out accuracy) over the folds, on nested subsets in hash order."""
+    cells, got = [(k, kw) for k in kinds], {}
+    for train, held in _folds(df, fold_col):
+        nested = SM.learning_subsets(train, id_col, fractions, SEED).cache()
+        for i, fraction in enumerate(fractions):
+            part = nested.filter(F.col("subset") <= i)
+            n = part.count()
+            for (kind, _), r in zip(cells, evaluate_cells(cells, part, held, train_score=True)):
+                got.setdefault((kind, float(fraction)), []).append((n, *r))
+        nested.unpersist()
+    return [(k, f, _mean_std([x[0] for x in v])[0], _mean_std([x[1] for x in v])[0], _mean_std([x[2] for x in v])[0])
+            for (k, f), v in got.items()]
+
+
+def tune_all(train: DataFrame, test: DataFrame, kinds: Iterable[str] = KINDS, fold_col: str = "fold",
+             grids: dict[str, list[dict]] | None = None) -> list[dict]:
+    """Every model tuned by its grid on ``train`` and evaluated on ``test``:
+    model_name, model, best_params, cv_score, the weighted test metrics and
+    is_best (highest test accuracy, ties to the first)."""
+    out = []
+    for kind in kinds:
+        model, params, mean, _ = grid_search(kind, train, fold_col, (grids or {}).get(kind))
+        scored = score(model, test).withColumnRenamed("label", "true_label")
+        wm = MT.weighted_metrics(MT.confusion_matrix(scored, "true_label", "pred_label")).first().asDict()
+        out.append({"model_name": kind, "model": model, "best_params": params, "cv_score": mean, **wm})
+    best = max(range(len(out)), key=lambda i: out[i]["accuracy"] or 0.0)
+    return [{**r, "is_best": i == best} for i, r in enumerate(out)]
 
 
 def parameter_count(model: PipelineModel) -> int:

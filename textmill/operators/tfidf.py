@@ -8,8 +8,8 @@ L2-normalised.
 Plan shape: token arrays are hash-partitioned by document once; the
 ``(doc, term)`` count and the per-document norm window reuse that
 partitioning (no further shuffle of the document side).  Term statistics
-are a map-side-combined aggregate; the vocabulary (bounded by
-``max_features``) is broadcast.
+are a map-side-combined aggregate; whether the vocabulary is broadcast is
+left to the planner, which knows its size.
 """
 
 from __future__ import annotations
@@ -18,10 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.barrier import materialize
 from ..functions.constants import english_stop_words
 
-BROADCAST_VOCAB_LIMIT = 2_000_000
-
 
 def doc_terms(df: DataFrame, text: str, id_col: str, ngram=(1, 2), stop_words=None) -> DataFrame:
     """(doc_id, terms).  Tokens are projected first and n-grams built from
@@ -39,9 +38,23 @@ def term_counts(terms: DataFrame, partitions: int | None = None) -> DataFrame:
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def term_stats(terms: DataFrame) -> DataFrame:
+    """(term, df, total) straight from the term arrays: a document's terms are
+    sorted in the row, and its first of each marks the document, so nothing is
+    shuffled but the map-side sums per term."""
+    d = materialize(terms.select("terms"), "terms", F.sort_array("terms"))
+    marked = F.transform("terms", lambda t, i: F.struct(
+        t.alias("term"), ((i == 0) | (F.get("terms", i - 1) != t)).cast("int").alias("first")))
+    return (d.select(F.explode_outer(marked).alias("t")).filter(F.col("t.term").isNotNull())
+            .groupBy("t.term").agg(F.sum("t.first").alias("df"), F.count(F.lit(1)).alias("total")))
+
+
 def fit_vocabulary(tf: DataFrame, max_features: int | None) -> DataFrame:
     """(term, df, total, term_index) for the top terms by corpus count."""
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    return top_terms(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")), max_features)
+
+
+def top_terms(stats: DataFrame, max_features: int | None) -> DataFrame:
     if max_features is not None:
         stats = stats.orderBy(F.desc("total"), F.col("term")).limit(max_features)
     return stats.withColumn("term_index", (F.row_number().over(Window.orderBy(F.desc("total"), F.col("term"))) - 1).cast("int"))
@@ -52,11 +65,9 @@ def idf_table(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     return vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
 
 
-def tfidf_long(tf: DataFrame, idf: DataFrame, max_features: int | None = None) -> DataFrame:
+def tfidf_long(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(doc_id, term, term_index, tf, tfidf) with unit L2 norm per document."""
-    small = max_features is not None and max_features <= BROADCAST_VOCAB_LIMIT
-    v = F.broadcast(idf) if small else idf
-    j = tf.join(v.select("term", "term_index", "idf"), "term")
+    j = tf.join(idf.select("term", "term_index", "idf"), "term")
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("doc_id")))
     return j.select("doc_id", "term", "term_index", "tf", (raw / norm).alias("tfidf"))
@@ -67,7 +78,7 @@ def tfidf(df: DataFrame, text: str, id_col: str, max_features: int | None = 2000
     terms = doc_terms(df, text, id_col, ngram, stop_words)
     tf = term_counts(terms)
     vocab = fit_vocabulary(tf, max_features)
-    return tfidf_long(tf, idf_table(vocab, df), max_features)
+    return tfidf_long(tf, idf_table(vocab, df))
 
 
 def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
