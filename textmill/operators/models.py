@@ -37,7 +37,7 @@ from . import tfidf as TF
 NUMERIC = ["word_count", "punct_count", "upper_count"]
 KINDS = ("logistic_regression", "linear_svc", "sgd_hinge", "naive_bayes")
 MAX_FEATURES = 40000  # vocabulary of the untuned models
-PARALLEL = 4          # fits that run at the same time, each over all slots
+PARALLEL = 4          # folds fitted at the same time, each over all slots
 
 
 def _sql_str(s: str) -> str:
@@ -236,8 +236,8 @@ def evaluate_cells(cells: list[tuple], train: DataFrame, held: DataFrame, train_
 
         try:
             x.count(), y.count()
-            for i, got in zip(members, _in_parallel(one, members)):
-                out[i] = got
+            for i in members:
+                out[i] = one(i)
         finally:
             x.unpersist(), y.unpersist()
     return out
@@ -261,7 +261,7 @@ def cross_validate_cells(cells: list[tuple], df: DataFrame, fold_col: str = "fol
     (kind, parameters) cells; the whole model, featurizer included, learns
     from k-1 folds and is scored on the held-out one (no vocabulary leakage).
     Returns (mean accuracy, population std) per cell."""
-    per_fold = [evaluate_cells(cells, train, held) for train, held in _folds(df, fold_col)]
+    per_fold = _in_parallel(lambda fold: evaluate_cells(cells, *fold), _folds(df, fold_col))
     return [_mean_std([f[i][1] for f in per_fold]) for i in range(len(cells))]
 
 
@@ -296,15 +296,21 @@ def learning_curve(kinds: Iterable[str], df: DataFrame, fold_col: str = "fold",
                    fractions=LEARNING_FRACTIONS, **kw) -> list[tuple]:
     """(kind, fraction, mean rows learned from, mean train accuracy, mean
     held-out accuracy) over the folds, on nested subsets in hash order."""
-    cells, got = [(k, kw) for k in kinds], {}
-    for train, held in _folds(df, fold_col):
-        nested = SM.learning_subsets(train, id_col, fractions, SEED).cache()
+    cells = [(k, kw) for k in kinds]
+
+    def one(fold: tuple[DataFrame, DataFrame]) -> list[tuple]:
+        train, held = fold
+        nested, rows = SM.learning_subsets(train, id_col, fractions, SEED).cache(), []
         for i, fraction in enumerate(fractions):
             part = nested.filter(F.col("subset") <= i)
             n = part.count()
-            for (kind, _), r in zip(cells, evaluate_cells(cells, part, held, train_score=True)):
-                got.setdefault((kind, float(fraction)), []).append((n, *r))
+            rows += [((kind, float(fraction)), (n, *r)) for (kind, _), r in zip(cells, evaluate_cells(cells, part, held, train_score=True))]
         nested.unpersist()
+        return rows
+
+    got: dict[tuple, list[tuple]] = {}
+    for key, r in itertools.chain(*_in_parallel(one, _folds(df, fold_col))):
+        got.setdefault(key, []).append(r)
     return [(k, f, _mean_std([x[0] for x in v])[0], _mean_std([x[1] for x in v])[0], _mean_std([x[2] for x in v])[0])
             for (k, f), v in got.items()]
 
