@@ -94,3 +94,31 @@ def test_history_rows(spark):
 def test_method_paths():
     p = W.method_paths("/x/ml_methods", "Linear SVC")
     assert p["evaluation_log"] == "/x/ml_methods/linear_svc/logs/evaluation_log.json"
+
+
+def test_evaluation_log_and_report_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="tm-log-")
+    record = {"model_name": "Naive Bayes", "best_hyperparameters": {"alpha": 0.1}, "metrics": {"test_accuracy": 0.9},
+              "confusion_matrix": [[5, 1], [0, 4]], "classification_report": "class 0\nclass 1"}
+    p = W.method_paths(d, "Naive Bayes")
+    W.write_evaluation_log(spark, p["evaluation_log"], record)
+    W.write_evaluation_report(spark, p["report"], record)
+    W.write_evaluation_log(spark, W.method_paths(d, "BERT")["evaluation_log"], {})
+    got = {r.method_dir: r for r in S.read_evaluation_logs(spark, d).collect()}
+    assert set(got) == {"naive_bayes", "bert"}
+    nb, empty = got["naive_bayes"], got["bert"]
+    assert nb.metrics.test_accuracy == 0.9 and nb.metrics.cross_validation_score == 0.0
+    assert json.loads(nb.best_hyperparameters) == {"alpha": 0.1} and nb.confusion_matrix == [[5, 1], [0, 4]]
+    assert (empty.model_name, empty.best_hyperparameters, empty.metrics.test_accuracy) == ("bert", "{}", 0.0)
+    report = "\n".join(r.value for r in spark.read.text(p["report"]).collect())
+    assert "Model: Naive Bayes" in report and "test_accuracy: 0.900000" in report and "class 1" in report
+
+
+def test_predictions_in_every_form(spark):
+    d = tempfile.mkdtemp(prefix="tm-pred-")
+    rows = [{"id": 1, "p": 0.5}, {"id": 2, "p": 0.25}]
+    forms = {"lines": "\n".join(map(json.dumps, rows)), "array": json.dumps(rows, indent=2),
+             "document": json.dumps({"predictions": rows}), "indented": json.dumps({"predictions": rows}, indent=2)}
+    for name, text in forms.items():
+        _write(f"{d}/{name}.json", text)
+        assert sorted((r.id, r.p) for r in S.read_predictions(spark, f"{d}/{name}.json").collect()) == [(1, 0.5), (2, 0.25)], name

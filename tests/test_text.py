@@ -99,3 +99,12 @@ def test_labels_are_stripped_of_any_white_space(spark):
     raw = ["spam\n", "\tham", "spam\r", "\u00a0Safe Email ", "sp am", None]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(raw)], "k int, t string")
     assert [r["o"] for r in df.select("k", T.standardise_label("t").alias("o")).orderBy("k").collect()] == [1, 0, 1, 0, None, None]
+
+
+def test_character_references(spark):
+    import html
+    cases = ["a &apos;b&apos; &amp c &ampd &lbrace;x&rbrace; &notit; &notin; &frac12; &AMP;&copy2024 R&D AT&T & &; &nope; &#",
+             "&#146; &#128;&#x9f; &#65 &#65; &#x41;z &#X4a &#0; &#xD800; &#1114112; &#99999999999999; &#x0000000000041; &#11; &#x1FFFE;",
+             "&there4;&NotEqualTilde; &#129;", "", "plain", "&&amp;&", "&lt;b&gt &ltx"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    assert [r[0] for r in df.select(T._entity_decode(F.col("s"))).collect()] == [html.unescape(c) for c in cases]

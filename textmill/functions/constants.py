@@ -109,5 +109,6 @@ def english_stop_words() -> tuple[str, ...]:
 
 @functools.lru_cache(maxsize=None)
 def html_named_entities() -> dict[str, str]:
-    """HTML 4 named entities (``&name;``) from the Python standard library."""
-    return {name: chr(cp) for name, cp in html.entities.name2codepoint.items()}
+    """HTML 5 character references from the Python standard library: names
+    with their semicolon, and the older names that may stand without one."""
+    return dict(html.entities.html5)

@@ -8,6 +8,8 @@ and ``\\w`` are ASCII-only while the semantics we reproduce are Unicode-aware.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,24 +86,50 @@ def qp_repair(c) -> Column:
 _TAG = r"""<[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</[a-zA-Z][^>]*+>"""
 
 
+# What references to U+0080 to U+009F stand for: the Windows-1252 character,
+# or the control character where that code page has none.
+_C1 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+
+
 def _entity_decode(s: Column) -> Column:
-    """Decode ``&name;``, ``&#NNN;`` and ``&#xHH;`` references."""
-    names = html_named_entities()
-    emap = F.create_map(*[x for k, v in sorted(names.items()) for x in (F.lit(k), F.lit(v))])
+    """Decode character references as HTML 5 does: ``&name;``, the older names
+    without a semicolon too (the longest that fits), ``&#NNN;`` and ``&#xHH;``
+    with or without one.  Numbers 0, surrogates and those past U+10FFFF give
+    U+FFFD, control characters and non-characters give nothing."""
+    by_first: dict[str, dict[str, str]] = {}  # a map is searched from its start: by first letter it is short
+    older = []
+    for name, text in sorted(html_named_entities().items()):
+        by_first.setdefault(name[0], {})[name] = text
+        if not name.endswith(";"):
+            older.append(name)
+    named = F.from_json(F.lit(json.dumps(by_first)), "map<string,map<string,string>>")  # folded to a constant
+    older_pattern = "^(" + "|".join(sorted(older, key=lambda n: (-len(n), n))) + ")"
+
+    def lookup(name):
+        return F.try_element_at(F.try_element_at(named, F.substring(name, 1, 1)), name)
+
+    def number(digits, base):
+        short = F.regexp_replace(digits, "^0+", "")
+        cp = F.when(F.length(short) > 7, F.lit(1 << 24)).otherwise(F.conv(F.concat(F.lit("0"), short), base, 10).cast("bigint"))
+        low = cp.bitwiseAND(F.lit(0xFFFF))
+        return (F.when((cp == 0) | cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF), F.lit("\ufffd"))
+                .when(cp.between(0x80, 0x9F), F.substring(F.lit(_C1), cp.cast("int") - 0x7F, F.lit(1)))
+                .when((cp < 9) | (cp == 11) | cp.between(14, 31) | (cp == 127) | cp.between(0xFDD0, 0xFDEF) | (low >= 0xFFFE), F.lit(""))
+                .otherwise(F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")))
+
+    def rest(p, pattern):
+        return F.regexp_replace(p, pattern, "")
 
     def piece(p, i):
-        name = F.regexp_extract(p, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
-        dec = F.regexp_extract(p, r"^#([0-9]{1,7});", 1)
-        hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
-        cp = F.when(dec != "", dec.cast("bigint")).otherwise(F.conv(hexd, 16, 10).cast("bigint"))
-        numeric_ok = ((dec != "") | (hexd != "")) & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-        as_char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-        numeric_len = F.when(dec != "", F.length(dec) + 2).otherwise(F.length(hexd) + 3)
+        name, old = F.regexp_extract(p, "^([a-zA-Z][a-zA-Z0-9]*;)", 1), F.regexp_extract(p, older_pattern, 1)
         return (F.when(i == 0, p)
-                .when((name != "") & emap[name].isNotNull(),
-                      F.concat(emap[name], F.substring(p, F.length(name) + 2, 1 << 30)))
-                .when(numeric_ok, F.concat(as_char, F.substring(p, numeric_len + 1, 1 << 30)))
-                .otherwise(F.concat(F.lit("&"), p)))
+                .when(p.rlike("^#[0-9]"), F.concat(number(F.regexp_extract(p, "^#([0-9]+)", 1), 10), rest(p, "^#[0-9]+;?")))
+                .when(p.rlike("^#[xX][0-9a-fA-F]"),
+                      F.concat(number(F.regexp_extract(p, "^#[xX]([0-9a-fA-F]+)", 1), 16), rest(p, "^#[xX][0-9a-fA-F]+;?")))
+                .when(~p.rlike("^[a-zA-Z]"), F.concat(F.lit("&"), p))
+                .otherwise(F.coalesce(F.concat(lookup(name), rest(p, "^[a-zA-Z0-9]+;")),
+                                      F.concat(lookup(old), rest(p, older_pattern)),
+                                      F.concat(F.lit("&"), p))))
 
     return F.array_join(F.transform(F.split(s, "&", -1), piece), "")
 

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def digest(key: str) -> Column:
+    """SHA-256 of a text: 32 bytes to shuffle and compare, however long the
+    text is; null for null."""
+    return F.unhex(F.sha2(F.col(key).cast("binary"), 256))
+
+
 def dedup_keep_first(df: DataFrame, key: str = "text",
                      order: tuple[str, ...] = ("source_file", "record_id")) -> DataFrame:
     """``drop_duplicates(subset=[key], keep='first')`` with "first" made
@@ -23,10 +29,10 @@ def dedup_keep_first(df: DataFrame, key: str = "text",
 
 
 def dedup_report(df: DataFrame, key: str = "text") -> DataFrame:
-    """Rows before / after / removed by dedup on ``key``."""
+    """Rows before / after / removed by dedup on ``key`` (counted by digest)."""
     d = df.filter(F.col(key).isNotNull())
     return d.agg(F.count(F.lit(1)).alias("rows_before"),
-                 F.count_distinct(key).alias("rows_after")) \
+                 F.count_distinct(digest(key)).alias("rows_after")) \
             .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
@@ -35,7 +41,7 @@ def split_leakage(df: DataFrame, split_col: str = "split", key: str = "text",
     """|distinct texts(A) ∩ distinct texts(B)| for every pair of splits, in one
     shuffle: per text, one flag per split, then conditional sums."""
     flags = (df.filter(F.col(key).isNotNull())
-               .groupBy(key)
+               .groupBy(digest(key).alias("_key"))
                .agg(*[F.max((F.col(split_col) == s).cast("int")).alias(f"_in_{i}") for i, s in enumerate(splits)]))
     pairs = [(i, j) for i in range(len(splits)) for j in range(i + 1, len(splits))]
     agg = flags.agg(*[F.sum(F.col(f"_in_{i}") * F.col(f"_in_{j}")).alias(f"_p{i}_{j}") for i, j in pairs])
@@ -47,7 +53,8 @@ def split_leakage(df: DataFrame, split_col: str = "split", key: str = "text",
 
 def leakage_removed(test: DataFrame, train: DataFrame, key: str = "text") -> DataFrame:
     """Test rows whose text also occurs in train are removed (anti join)."""
-    return test.join(train.select(key).distinct(), key, "left_anti")
+    seen = train.select(digest(key).alias("_seen")).distinct()
+    return test.join(seen, digest(key) == F.col("_seen"), "left_anti")
 
 
 def shared_texts(a: DataFrame, b: DataFrame, key: str = "text") -> DataFrame:

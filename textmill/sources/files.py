@@ -10,6 +10,7 @@ file is never split across partitions.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -177,17 +178,30 @@ EVAL_SCHEMA = T.StructType([
 
 
 def read_evaluation_logs(spark: SparkSession, root: str) -> DataFrame:
-    """Every ``<root>/<method>/logs/evaluation_log.json``; missing fields
-    become null, the method directory name is kept."""
+    """Every ``<root>/<method>/logs/evaluation_log.json``, a file or a
+    folder of parts.  A missing model name becomes the directory name, missing
+    metrics 0.0 and missing hyper-parameters ``{}``; ``method_dir`` is the
+    name of the method's directory."""
     df = spark.read.schema(EVAL_SCHEMA).option("multiLine", True).json(f"{root.rstrip('/')}/*/logs/evaluation_log.json")
-    method = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/logs/evaluation_log\.json$", 1)
-    return df.withColumn("method_dir", method)
+    method = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/logs/evaluation_log\.json(?:/[^/]*)?$", 1)
+    metrics = [f.name for f in EVAL_SCHEMA["metrics"].dataType]
+    return (df.withColumn("method_dir", method)
+            .withColumn("model_name", F.coalesce("model_name", "method_dir"))
+            .withColumn("best_hyperparameters", F.coalesce("best_hyperparameters", F.lit("{}")))
+            .withColumn("metrics", F.struct(*[F.coalesce(F.col(f"metrics.{m}"), F.lit(0.0)).alias(m) for m in metrics])))
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Prediction records written as JSON lines (or a document with a
-    ``predictions`` array) -> one row per prediction."""
-    df = spark.read.option("multiLine", False).json(path)
+    """Prediction records as JSON lines, or documents (indented ones too)
+    that are an array of records or hold one as ``predictions`` -> one row per
+    prediction.  All files of a path have the same form, told by whether the
+    first line is a value of its own."""
+    head = spark.read.text(path).where("trim(value) <> ''").first()
+    try:
+        lines = head is None or isinstance(json.loads(head["value"]), dict)
+    except ValueError:
+        lines = False
+    df = spark.read.option("multiLine", not lines).json(path)
     if "predictions" in df.columns:
         df = df.select(F.explode("predictions").alias("p")).select("p.*")
     return df
