@@ -122,3 +122,14 @@ def test_predictions_in_every_form(spark):
     for name, text in forms.items():
         _write(f"{d}/{name}.json", text)
         assert sorted((r.id, r.p) for r in S.read_predictions(spark, f"{d}/{name}.json").collect()) == [(1, 0.5), (2, 0.25)], name
+
+
+def test_latin_1_files_are_told_from_utf_8(spark):
+    root = tempfile.mkdtemp(prefix="tm-enc-")
+    for name, encoding in (("a.csv", "utf-8"), ("b.csv", "latin-1")):
+        with open(f"{root}/{name}", "w", encoding=encoding) as f:
+            f.write('text,label\nplain,0\n"café, crème",1\n')
+    with open(f"{root}/empty.csv", "w"):
+        pass
+    got = sorted((r.source_file, r.record_id, r.text) for r in S.read_csv_tree(spark, root).collect())
+    assert got == [(f, i, t) for f in ("a.csv", "b.csv") for i, t in enumerate(("plain", "café, crème"))]

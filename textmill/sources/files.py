@@ -55,20 +55,27 @@ def list_csv_files(spark: SparkSession, root: str, exclude_dirs=()) -> list[str]
     return files
 
 
-def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(file_path, first_line) for every file, in one distributed pass:
-    only rows of each file's first block are considered, and the smallest
-    row id per file is kept (map-side combined)."""
+def file_heads(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file_path, first_line, is_utf8) of every file, in one distributed pass
+    with map-side sums: the line of the smallest row id in the file's first
+    block, and whether all of its bytes are valid UTF-8."""
     t = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file_path"),
                                       F.col("_metadata.file_block_start").alias("_bs"),
                                       F.monotonically_increasing_id().alias("_mid"))
-    return t.filter(F.col("_bs") == 0).groupBy("file_path").agg(F.min_by("value", "_mid").alias("first_line"))
+    return t.groupBy("file_path").agg(F.min_by("value", F.when(F.col("_bs") == 0, F.col("_mid"))).alias("first_line"),
+                                      F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+
+
+def _real(heads: list) -> tuple[list, list[str]]:
+    """(heads of data files, paths of Git LFS pointers)."""
+    lfs = sorted(r["file_path"] for r in heads if (r["first_line"] or "").strip().startswith(LFS_SPEC))
+    pointers = set(lfs)
+    return [r for r in heads if r["file_path"] not in pointers], lfs
 
 
 def quarantine_lfs(spark: SparkSession, files: list[str]) -> tuple[list[str], list[str]]:
     """Split files into (real, lfs_pointers).  Raises when nothing real is left."""
-    heads = first_lines(spark, files).collect()
-    lfs = sorted(r["file_path"] for r in heads if (r["first_line"] or "").strip().startswith(LFS_SPEC))
+    _, lfs = _real(file_heads(spark, files).collect())  # a row per file
     lfs_n = {_norm(x) for x in lfs}
     real = [f for f in files if _norm(f) not in lfs_n]
     if not real:
@@ -76,14 +83,6 @@ def quarantine_lfs(spark: SparkSession, files: list[str]) -> tuple[list[str], li
     return real, lfs
 
 
-def _header_groups(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    groups: dict[str, list[str]] = {}
-    by_path = {_norm(f): f for f in files}
-    for r in first_lines(spark, files).collect():
-        groups.setdefault(r["first_line"] or "", []).append(by_path.get(_norm(r["file_path"]), r["file_path"]))
-    return groups
-
-
 def read_csv_group(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> DataFrame:
     """All files share one header; every column is read as STRING.  Column
     names are kept case-sensitive (``text`` and ``Text`` are different)."""
@@ -127,12 +126,21 @@ def na_to_null(df: DataFrame, cols=None) -> DataFrame:
                        if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
-def read_csv_tree(spark: SparkSession, root: str, exclude_dirs=(), encoding: str = "UTF-8") -> DataFrame:
+def read_csv_tree(spark: SparkSession, root: str, exclude_dirs=(), encoding: str | None = None) -> DataFrame:
     """Recursive CSV scan with LFS quarantine, header-drift union,
-    provenance columns and pandas-style NA handling."""
+    provenance columns and pandas-style NA handling.  Without a given
+    encoding a file that is not valid UTF-8 is read as Latin-1; lines of the
+    wrong width are kept, with nulls for what they lack."""
     files = list_csv_files(spark, root, exclude_dirs)
-    real, _ = quarantine_lfs(spark, files)
-    frames = [with_provenance(read_csv_group(spark, fs, encoding), root) for fs in _header_groups(spark, real).values()]
+    heads, _ = _real(file_heads(spark, files).collect())
+    by_path = {_norm(f): f for f in files}
+    groups: dict[tuple, list[str]] = {}
+    for r in heads:
+        enc = encoding or ("UTF-8" if r["is_utf8"] else "ISO-8859-1")
+        groups.setdefault((r["first_line"] or "", enc), []).append(by_path.get(_norm(r["file_path"]), r["file_path"]))
+    if not groups:
+        raise RuntimeError(f"none of the {len(files)} CSV files holds data: Git LFS pointers or empty")
+    frames = [with_provenance(read_csv_group(spark, fs, enc), root) for (_, enc), fs in groups.items()]
     prev = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
