@@ -14,10 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast the offsets table only below this many rows (groups x buckets).
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
 def hash_order(id_col, seed: int = 42) -> Column:
     """Deterministic pseudo-random order key, identical in Spark and DuckDB:
     ``md5('<seed>:<id>')`` as 32 lower-case hex digits."""
@@ -31,22 +27,17 @@ def hash_bucket(h: Column, hex_digits: int = 3) -> Column:
 
 
 def bucketed_rank(df: DataFrame, partition_cols: list[str], order_cols: list, bucket: Column,
-                  name: str = "rank", max_groups: int | None = None, n_buckets: int = 4096,
-                  total_name: str | None = None) -> DataFrame:
+                  name: str = "rank", total_name: str | None = None) -> DataFrame:
     """Add ``name`` = 1-based rank of each row within ``partition_cols`` by
     ``order_cols``.  ``bucket`` must be non-decreasing in ``order_cols``.
 
-    ``max_groups`` is the caller's bound on the number of distinct partition
-    keys; the offsets table is broadcast only when ``max_groups * n_buckets``
-    is below ``BROADCAST_ROW_LIMIT`` (otherwise it is a regular join)."""
+    How the offsets (a row for each group and bucket) are joined is left to
+    the planner, which measures their size."""
     d = df.withColumn("_bkt", bucket)
     counts = d.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*partition_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*partition_cols, "_bkt", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
                             F.sum("_n").over(Window.partitionBy(*partition_cols)).alias("_tot"))
-    groups = 1 if not partition_cols else max_groups
-    if groups is not None and groups * n_buckets <= BROADCAST_ROW_LIMIT:
-        offsets = F.broadcast(offsets)
     o = offsets.alias("_o")
     cond = [F.col("_d._bkt") == F.col("_o._bkt")] + [
         F.col(f"_d.`{c}`").eqNullSafe(F.col(f"_o.`{c}`")) for c in partition_cols]
@@ -58,20 +49,10 @@ def bucketed_rank(df: DataFrame, partition_cols: list[str], order_cols: list, bu
 
 
 def hash_rank(df: DataFrame, id_col: str, partition_cols: list[str] | None = None, seed: int = 42,
-              name: str = "rank", max_groups: int | None = None, hex_digits: int = 3,
-              total_name: str | None = None) -> DataFrame:
+              name: str = "rank", hex_digits: int = 3, total_name: str | None = None) -> DataFrame:
     """Rank by ``md5(seed:id)`` (ties by id) within ``partition_cols``;
     ``total_name`` optionally adds the group size."""
     d = df.withColumn("_h", hash_order(id_col, seed))
     out = bucketed_rank(d, partition_cols or [], [F.col("_h"), F.col(id_col)], hash_bucket(F.col("_h"), hex_digits),
-                        name=name, max_groups=max_groups, n_buckets=16 ** hex_digits, total_name=total_name)
+                        name=name, total_name=total_name)
     return out.drop("_h")
-
-
-def range_rank(df: DataFrame, partition_cols: list[str], order_col: str, width: int = 1 << 16,
-               name: str = "rank", max_groups: int | None = None, n_buckets: int = 4096) -> DataFrame:
-    """Rank by a numeric ``order_col`` within ``partition_cols``, buckets of
-    ``width`` consecutive values."""
-    bucket = F.floor(F.col(order_col) / F.lit(width))
-    return bucketed_rank(df, partition_cols, [F.col(order_col)], bucket, name=name,
-                         max_groups=max_groups, n_buckets=n_buckets)

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.constants import CV_FOLDS, LEARNING_FRACTIONS, SEED, SPLIT_PERCENT, TARGET_DATASET_SIZE
 from .ranking import hash_order, hash_rank
 
-# Upper bound on distinct classes of a label column (classification tasks).
-MAX_CLASSES = 64
-
-
 def _largest_remainder(counts: DataFrame, label: str, n_col: str, total_col: str, out: str) -> DataFrame:
     """Split integer ``total_col`` over labels in proportion to ``n_col``:
     floor shares, then +1 for the largest remainders (ties: smaller label)."""
@@ -54,8 +50,8 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "record_
 
     Within each label rows are ranked by hash; the first ``test_quota`` go to
     test, the next up to ``hold_quota`` to validation, the rest to train."""
-    quotas = F.broadcast(split_quotas(label_counts(df, label), label, percents))
-    ranked = hash_rank(df, id_col, [label], seed, name="_r", max_groups=MAX_CLASSES)
+    quotas = split_quotas(label_counts(df, label), label, percents)
+    ranked = hash_rank(df, id_col, [label], seed, name="_r")
     out = ranked.join(quotas, label, "inner")
     split = (F.when(F.col("_r") <= F.col("test_quota"), "test")
               .when(F.col("_r") <= F.col("hold_quota"), "validation").otherwise("train"))
@@ -66,7 +62,7 @@ def stratified_folds(df: DataFrame, label: str = "label", id_col: str = "record_
                      seed: int = SEED) -> DataFrame:
     """Fold ``0..k-1``: round robin over the hash rank inside each label, so
     every fold has each label's count within one."""
-    ranked = hash_rank(df, id_col, [label], seed, name="_r", max_groups=MAX_CLASSES)
+    ranked = hash_rank(df, id_col, [label], seed, name="_r")
     return ranked.withColumn("fold", F.pmod(F.col("_r") - 1, F.lit(k)).cast("int")).drop("_r")
 
 
@@ -86,8 +82,8 @@ def stratified_sample(df: DataFrame, n: int, label: str = "label", id_col: str =
                       seed: int = SEED) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, allocated to labels by largest remainder."""
     counts = label_counts(df, label).withColumn("_total", F.least(F.lit(n), F.sum("n_label").over(Window.partitionBy())))
-    quotas = F.broadcast(_largest_remainder(counts, label, "n_label", "_total", "quota").select(label, "quota"))
-    ranked = hash_rank(df, id_col, [label], seed, name="_r", max_groups=MAX_CLASSES)
+    quotas = _largest_remainder(counts, label, "n_label", "_total", "quota").select(label, "quota")
+    ranked = hash_rank(df, id_col, [label], seed, name="_r")
     return ranked.join(quotas, label).filter(F.col("_r") <= F.col("quota")).select(*df.columns)
 
 
@@ -112,24 +108,19 @@ def balanced_resample(df: DataFrame, label: str = "label", id_col: str = "record
     """Class-balanced resampling with replacement, same total size.
 
     Draw ``j = 0..n-1`` goes to class ``j mod k`` (classes sorted) and picks
-    the row of rank ``1 + (hash(seed:draw:j) mod n_c)`` of that class.  The
-    class table (at most ``MAX_CLASSES`` rows) is the only thing read on the
-    driver; draws are generated and joined on the executors."""
-    classes = label_counts(df, label).orderBy(label).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError("too many classes for balanced resampling")
-    k = len(classes)
-    n_rows = sum(r["n_label"] for r in classes)
-    spark = df.sparkSession
-    cls = spark.createDataFrame([(i, r[label], r["n_label"]) for i, r in enumerate(classes)],
-                                f"_ci int, _lab {df.schema[label].dataType.simpleString()}, _nc long")
-    draws = spark.range(0, n_rows).withColumnRenamed("id", "draw").withColumn("_ci", F.pmod(F.col("draw"), F.lit(max(k, 1))).cast("int"))
-    d = draws.join(F.broadcast(cls), "_ci")
+    the row of rank ``1 + (hash(seed:draw:j) mod n_c)`` of that class.  Only
+    the numbers of rows and classes reach the driver."""
+    counts = label_counts(df, label)
+    n_rows, k = counts.agg(F.coalesce(F.sum("n_label"), F.lit(0)), F.count(F.lit(1))).first()
+    cls = counts.select((F.row_number().over(Window.orderBy(label)) - 1).alias("_ci"), F.col(label).alias("_lab"),
+                        F.col("n_label").alias("_nc"))
+    draws = df.sparkSession.range(0, n_rows).select(F.col("id").alias("draw"), F.pmod(F.col("id"), F.lit(max(k, 1))).cast("int").alias("_ci"))
+    d = draws.join(cls, "_ci")
     hx = F.substring(F.md5(F.concat(F.lit(f"{seed}:draw:"), F.col("draw").cast("string"))), 1, 15)
     d = d.withColumn("_pick", F.pmod(F.conv(hx, 16, 10).cast("long"), F.col("_nc")) + 1)
-    ranked = hash_rank(df, id_col, [label], seed, name="_r", max_groups=MAX_CLASSES)
-    return d.join(ranked, (F.col("_lab") == ranked[label]) & (F.col("_pick") == ranked["_r"]), "inner") \
-            .select("draw", *[ranked[c] for c in df.columns])
+    ranked = hash_rank(df, id_col, [label], seed, name="_r")
+    on = (F.col("d._lab") == F.col(f"r.`{label}`")) & (F.col("d._pick") == F.col("r._r"))
+    return d.alias("d").join(ranked.alias("r"), on).select("d.draw", *[F.col(f"r.`{c}`") for c in df.columns])
 
 
 def inspection_sample(df: DataFrame, label: str = "label", id_col: str = "record_id",
@@ -146,8 +137,8 @@ def inspection_sample(df: DataFrame, label: str = "label", id_col: str = "record
     c = c.withColumn("_short", F.sum(F.col("_want") - F.col("_got")).over(Window.partitionBy()))
     c = c.withColumn("quota", F.least(F.col("n_label"), F.col("_got") + F.col("_short")))
     c = c.withColumn("quota", F.when(F.sum("quota").over(Window.partitionBy()) > total, F.col("_got")).otherwise(F.col("quota")))
-    ranked = hash_rank(df, id_col, [label], seed, name="_r", max_groups=MAX_CLASSES)
-    return ranked.join(F.broadcast(c.select(label, "quota")), label).filter(F.col("_r") <= F.col("quota")) \
+    ranked = hash_rank(df, id_col, [label], seed, name="_r")
+    return ranked.join(c.select(label, "quota"), label).filter(F.col("_r") <= F.col("quota")) \
                  .select(*df.columns)
 
 
