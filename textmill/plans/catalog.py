@@ -510,7 +510,8 @@ SELECT record_id, label, 'd1' AS origin FROM r WHERE rk <= greatest(100000 - (SE
 UNION ALL SELECT record_id, label, 'd2' FROM d2""")
 def q_sample_and_combine(spark, d):
     lab = labelled(spark, d)
-    out = SM.sample_and_combine(lab.filter(F.col("source_name") == "en"), lab.filter(F.col("source_name") != "en"), "record_id")
+    en = F.col("source_name").eqNullSafe("en")  # a null language is not 'en'; its rows stay
+    out = SM.sample_and_combine(lab.filter(en), lab.filter(~en), "record_id")
     return out.select("record_id", "label", "origin")
 
 
