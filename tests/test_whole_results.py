@@ -23,3 +23,15 @@ def test_null_language_is_combined(spark, write):
     d = write([("a", "en", 0), ("b", "de", 1), ("c", None, 1), ("d", None, 0), ("e", None, None), ("f", "fr", 0)])
     got = {r["record_id"]: (r["label"], r["origin"]) for r in C.q_sample_and_combine(spark, d).collect()}
     assert got == {0: (0, "d1"), 1: (1, "d2"), 2: (1, "d2"), 3: (0, "d2"), 5: (0, "d2")}
+
+
+def test_token_free_documents_get_the_prior_class(spark, write):
+    words = ["meeting agenda notes", "prize money winner"]
+    rows = [("!!! ???" if k % 2 else words[k % 3 == 0], "en", int(k % 3 == 0)) for k in range(60)]
+    d = write(rows)
+    test = {r["record_id"]: r["label"] for r in C.split_table(spark, d).where("split = 'test'").collect()}
+    got = {r["doc_id"]: r for r in C.q_naive_bayes(spark, d).collect()}
+    assert set(got) == set(test) and any(k % 2 for k in test)
+    for k, r in got.items():
+        assert r["true_label"] == test[k]
+        assert r["pred_label"] == (0 if k % 2 else test[k])

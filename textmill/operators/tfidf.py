@@ -104,12 +104,14 @@ def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def naive_bayes_closed_form(train_tf: DataFrame, train_labels: DataFrame, test_tf: DataFrame,
+def naive_bayes_closed_form(train_tf: DataFrame, train_labels: DataFrame, test_tf: DataFrame, test_docs: DataFrame,
                             alpha: float = 1.0, vocab: DataFrame | None = None) -> DataFrame:
     """Multinomial NB on term counts, in DataFrame form.
 
-    train_tf / test_tf: (doc_id, term, tf); train_labels: (doc_id, label).
-    Returns (doc_id, label, log_score) for every test document and label."""
+    train_tf / test_tf: (doc_id, term, tf); train_labels: (doc_id, label);
+    test_docs: (doc_id) of all test documents, also those without a term.
+    Returns (doc_id, label, log_score) for every test document and label; a
+    document without a known term gets the class priors."""
     lab = train_labels.select("doc_id", "label")
     t = train_tf.join(lab, "doc_id")
     if vocab is not None:
@@ -131,7 +133,7 @@ def naive_bayes_closed_form(train_tf: DataFrame, train_labels: DataFrame, test_t
     # a handful of rows and rides along as a scalar subquery.
     test_terms = test_tf.join(t.select("term").distinct(), "term", "left_semi")
     lab_list = classes.select(F.sort_array(F.collect_list(F.struct("label", "log_prior", "log_p0")))).scalar()
-    docs = test_tf.select("doc_id").distinct()
+    docs = test_docs.select("doc_id").distinct()
     d = docs.select("doc_id", F.explode(lab_list).alias("c")).select("doc_id", "c.label", "c.log_prior")
     tt = test_terms.select("doc_id", "term", "tf", F.explode(lab_list).alias("c")) \
                    .select("doc_id", "term", "tf", "c.label", "c.log_p0")

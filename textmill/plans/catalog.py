@@ -993,7 +993,8 @@ def q_naive_bayes(spark, d):
     """Closed-form multinomial NB (alpha=1) on unigram counts: train split ->
     test split predictions."""
     ids, train_tf, test_tf = _nb_inputs(spark, d)
-    scores = TF.naive_bayes_closed_form(train_tf, ids.filter(F.col("split") == "train"), test_tf, alpha=1.0)
+    scores = TF.naive_bayes_closed_form(train_tf, ids.filter(F.col("split") == "train"), test_tf,
+                                        ids.filter(F.col("split") == "test"), alpha=1.0)
     best = TF.argmax_label(scores)
     return best.join(ids.select("doc_id", F.col("label").alias("true_label")), "doc_id") \
                .select("doc_id", "true_label", "pred_label")
