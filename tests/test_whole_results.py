@@ -1,9 +1,11 @@
 """Queries over small tables with rows that are easily lost."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from textmill.plans import catalog as C
 
+SF001 = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -35,3 +37,12 @@ def test_token_free_documents_get_the_prior_class(spark, write):
     for k, r in got.items():
         assert r["true_label"] == test[k]
         assert r["pred_label"] == (0 if k % 2 else test[k])
+
+
+def test_tfidf_keeps_the_whole_vocabulary(spark):
+    t = C.q_tfidf(spark, SF001)  # 44,114 terms
+    assert t.agg(F.count_distinct("term"), F.max("term_index")).first() == (40_000, 39_999)
+    norms = t.groupBy("doc_id").agg(F.sum(F.col("tfidf") ** 2).alias("s")).agg(F.min("s"), F.max("s")).first()
+    assert abs(norms[0] - 1) < 1e-3 and abs(norms[1] - 1) < 1e-3
+    top = C.q_top_doc_terms(spark, SF001)
+    assert top.join(t.where("term_index >= 20000"), ["doc_id", "term"]).count() > 0

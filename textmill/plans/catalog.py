@@ -25,6 +25,7 @@ from ..operators import pages as PG
 from ..operators import quality as QL
 from ..operators import sampling as SM
 from ..operators import tfidf as TF
+from ..operators.models import MAX_FEATURES
 from ..functions.barrier import materialize
 from . import sqltext as S
 from .tables import labelled, master, predictions, table
@@ -888,7 +889,7 @@ def q_ensemble_vote(spark, d):
 # TF-IDF, scalers, closed-form naive Bayes, interpretation
 # ---------------------------------------------------------------------------
 
-_TFIDF_MAX = 20000
+_TFIDF_MAX = 20000  # of the oracle SQL only; the queries keep MAX_FEATURES terms
 
 
 def _tfidf_corpus(spark, d):
@@ -908,7 +909,7 @@ tfidf AS (SELECT doc_id, term, term_index, tf, raw / sqrt(sum(raw * raw) OVER (P
 
 @register("tfidf", _TFIDF_SQL_BASE + " SELECT doc_id, term, term_index, tf, round(tfidf, 6) AS tfidf FROM tfidf")
 def q_tfidf(spark, d):
-    t = TF.tfidf(_tfidf_corpus(spark, d), "text", "record_id", max_features=_TFIDF_MAX)
+    t = TF.tfidf(_tfidf_corpus(spark, d), "text", "record_id", max_features=MAX_FEATURES)
     return t.select("doc_id", "term", "term_index", "tf", r6(F.col("tfidf")).alias("tfidf"))
 
 
@@ -916,7 +917,7 @@ def q_tfidf(spark, d):
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(tfidf, 9) DESC, term) AS rank FROM tfidf)
 SELECT doc_id, term, round(tfidf, 6) AS weight, rank FROM r WHERE rank <= 15""")
 def q_top_doc_terms(spark, d):
-    t = TF.tfidf(_tfidf_corpus(spark, d), "text", "record_id", max_features=_TFIDF_MAX)
+    t = TF.tfidf(_tfidf_corpus(spark, d), "text", "record_id", max_features=MAX_FEATURES)
     top = IP.top_terms(t.withColumn("weight", F.round("tfidf", 9)), "doc_id", "term", "weight", 15)
     return top.select("doc_id", "term", r6(F.col("weight")).alias("weight"), "rank")
 
