@@ -73,3 +73,48 @@ def test_empty_and_untrained(spark):
     held = next(k for k in range(100) if crc(k, 10) == 0)
     x = L.score_table(frame(spark, ["a b"], start=held)).collect()[0]
     assert (x["train_tokens"], x["n_known"], x["n_tokens"]) == (0, 0, 3) and abs(x["base_score"]) < 1e-9
+
+
+def test_words_are_predicted_from_their_neighbours(spark):
+    r = rng(3)
+    after = list(range(200))
+    r.shuffle(after)  # one cycle or a few; every word has one successor
+
+    def walk():
+        k, out = r.randrange(200), []
+        for _ in range(60):
+            out.append(f"w{k}")
+            k = after[k]
+        return " ".join(out)
+
+    got = L.score_table(frame(spark, [walk() for _ in range(1500)])).where("held_out").collect()
+    gain = sum(x["score"] - x["base_score"] for x in got) / sum(x["n_tokens"] for x in got)
+    assert gain > 1.5  # a choice among 16 classes gives at most log10(16) = 1.2
+
+
+def test_within_class_probabilities_sum_to_one(spark):
+    r = rng(2)
+    vocabulary = [f"w{k}" for k in range(300)]
+    df = spark.createDataFrame([(k, sentence(r, 80, vocabulary).encode()) for k in range(60)], "id long, body binary")
+    counts = L.word_counts(df)
+    frequent, c = L.frequent_words(counts)
+    m = L.train(L.encode(df, frequent), c, *counts.selectExpr("sum(c)", "count(*)").first())
+    n = len(frequent)
+    assert n == 301 and (np.diff(m.starts)[:n] > 1).any() and np.any(m.deep)
+    total = 0.0
+    for k in [*range(n), n]:  # every word, and the tail, after the same two words
+        ids, length = np.array([5, 9, k], np.uint32), np.array([3])
+        logs = L.class_logs(m, m.weights, L.features(ids, length, n + 1, m.bits), m.classes[ids])
+        at, side, lean, size = L.decisions(m, ids, L.contexts(ids, length, n + 1))
+        total += math.exp(logs[2] + L.side_logs(m.deep, at, side, lean)[size[:2].sum():].sum())
+    assert math.isclose(total, 1, rel_tol=1e-4)
+
+
+def test_weight_rows_follow_the_tokens():
+    assert [L.row_bits(n) for n in (0, 10**6, 4 * 10**7, 10**12)] == [L.BITS, L.BITS, 16, L.MOST_BITS]
+
+
+def test_rare_words_keep_their_identity_in_the_history(spark):
+    df = spark.createDataFrame([(0, b"a b c b")], "id long, body binary")
+    ids = np.frombuffer(L.encode(df, [b"a"]).first()["ids"], np.uint32)
+    assert ids[0] == 0 and ids[1] == ids[3] != ids[2] and ids[1:].min() > 2

@@ -1,26 +1,32 @@
 """Language-model scores: a hashed maximum-entropy model with n-gram and skip
 features and a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class).  The first factor is
-a softmax over a few classes whose logits are sums of hashed weight rows for
-the word before, the pair before, and the words two and three places before.
+P(word | history) = P(class | history) * P(word | class, history).  The first
+factor is a softmax over a few classes; the second is a product of two-way
+softmaxes (forks) down a tree of the class's words, so their number follows
+the vocabulary.  Every logit is a bias from the counts plus hashed weights for
+the word before, the pair before, and the words two and three places before,
+at a fork hashed together with it.  Any word counts in the history, by its
+hash where it is not frequent.
 Classes are clusters of frequent words that keep the same company (profiles of
 the documents they occur in); all other words, and one unseen word, share a
-tail class.  The second factor has only a bias for each word, so its maximum
-entropy solution is the word's smoothed share of its class.
+tail class, within which a word has its smoothed share whatever the history.
 
 Everything is gathered from all training documents: word counts, the classes'
 profiles, and the weights, for which every training document is visited once.
 Texts are encoded once, and training and scoring read the ids.
 Training goes in rounds over disjoint parts of the documents: tasks start from
 the broadcast weights, make gradient steps on their rows, and their changes
-are averaged row by row.  What is broadcast is bounded by FREQUENT and ROWS;
+are averaged row by row.  The number of weights follows the training tokens up
+to 2^MOST_BITS rows and 2^DEEP times as many weights of forks; what is broadcast is bounded by that and FREQUENT;
 counts of words outside the frequent ones meet the texts in a join.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -34,12 +40,15 @@ from pyspark.sql import functions as F
 from .common import crc_mod, stored, text_bytes
 
 FREQUENT = 1 << 17   # words with an id of their own, at most
-BITS = 15            # of hashed feature rows
+BITS = 15            # of hashed feature rows, at least
 ROWS = 1 << BITS
+MOST_BITS = 17       # at most
+DEEP = 5             # bits more for the weights of forks
 CLASSES = 16         # class 0 is the tail
 ROUNDS = 2
 STEP = 0.3           # of the gradient updates (AdaGrad)
-BATCH = 8192         # tokens of one update
+BATCH = 8192         # tokens or forks of one update
+BLOCK = 4096         # weights averaged together
 PROFILE = 8          # numbers of a word's profile
 SMOOTH = 0.1
 END = b""            # the token after the last word; no word is empty
@@ -80,24 +89,61 @@ class Model:
     tail_total: int
     tail_distinct: int
     bias: np.ndarray         # by class
-    weights: np.ndarray      # ROWS x CLASSES
+    weights: np.ndarray      # rows x CLASSES
+    starts: np.ndarray | None = None  # where the forks on the way to every id begin
+    forks: np.ndarray | None = None
+    sides: np.ndarray | None = None   # which way, 0 or 1
+    lean: np.ndarray | None = None    # bias of every fork
+    deep: np.ndarray | None = None    # weights of the forks
+
+    @property
+    def bits(self) -> int:
+        return len(self.weights).bit_length() - 1
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + SMOOTH) / (self.total + SMOOTH * (self.distinct + 1)))
 
 
-def features(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
-    """Feature rows (4 x tokens) of the tokens of consecutive documents; before
-    a document stand three start tokens."""
+def contexts(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+    """Hashes (4 x tokens) of what stands before the tokens of consecutive
+    documents; before a document stand three start tokens."""
     n, pad = len(ids), 3
     at = np.arange(n) + pad * (np.repeat(np.arange(len(lengths)), lengths) + 1)
     line = np.full(n + pad * len(lengths), start, np.uint32)
     line[at] = ids
     one, two, three = line[at - 1], line[at - 2], line[at - 3]
     a, b, c, d = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F))
-    mixed = np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)))
+    return np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)))
+
+
+def place(mixed: np.ndarray, fork: np.ndarray | np.uint32, bits: int) -> np.ndarray:
+    """Places of the weights of contexts at a fork; 0 stands for the classes."""
+    mixed = mixed + fork * np.uint32(0x85EBCA6B)
     mixed ^= mixed >> np.uint32(15)
-    return (mixed * a >> np.uint32(32 - BITS)).astype(np.uint16)  # 16 bits sort by radix
+    return mixed * np.uint32(0x9E3779B1) >> np.uint32(32 - bits)
+
+
+def features(ids: np.ndarray, lengths: np.ndarray, start: int, bits: int = BITS) -> np.ndarray:
+    """Feature rows (4 x tokens) of the decisions between classes."""
+    return place(contexts(ids, lengths, start), np.uint32(0), bits)
+
+
+def decisions(model: Model, flat: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places of the weights, sides, biases) of every fork on the way to the
+    tokens, in their order, and the number of forks of each token."""
+    known = np.minimum(flat, np.uint32(len(model.counts))).astype(np.int64)
+    first = model.starts[known]
+    size = model.starts[known + 1] - first
+    token = np.repeat(np.arange(len(flat)), size)
+    at = np.arange(len(token)) + np.repeat(first - (np.cumsum(size) - size), size)
+    fork = model.forks[at]
+    return place(mixed[:, token], fork, model.bits + DEEP), model.sides[at], model.lean[fork], size
+
+
+def side_logs(deep: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> np.ndarray:
+    """ln P(side | features) of every fork."""
+    y = (deep[at].sum(axis=0) + lean) * (1 - 2 * side)
+    return -np.logaddexp(np.float32(0), y)
 
 
 def logits(model: Model, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -122,8 +168,8 @@ _ENCODED = "struct<ids:binary,rare:array<struct<word:binary,n:int>>>"
 
 def encode(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
     """``docs`` with its text column ``body`` replaced by the ids of its
-    tokens (32 bits each; the number of frequent words stands for any other
-    word) and the list of its other words with how often they occur."""
+    tokens (32 bits each; any other word has a hash above the ids of the
+    frequent words and the start token) and the list of its other words with how often they occur."""
     shared, tail = docs.sparkSession.sparkContext.broadcast(frequent), len(frequent)
 
     @F.arrow_udf(_ENCODED)
@@ -134,8 +180,11 @@ def encode(docs: DataFrame, frequent: list[bytes]) -> DataFrame:
             for t in batch.to_pylist():
                 tok = [*words(t), END]
                 mine = np.fromiter(map(ids.get, tok, repeat(tail)), np.uint32, len(tok))
+                at = np.flatnonzero(mine == tail)
+                other = [tok[j] for j in at.tolist()]
+                mine[at] = [tail + 2 + zlib.crc32(w) % (2**32 - tail - 2) for w in other]
                 out.append(mine.tobytes())
-                c = Counter([tok[j] for j in np.flatnonzero(mine == tail).tolist()])
+                c = Counter(other)
                 rare_word += c
                 rare_n += c.values()
                 ends.append(len(rare_word))
@@ -176,6 +225,7 @@ def _profiles(texts: DataFrame, model: Model) -> np.ndarray:
         for b in batches:
             for run in _slices(b.column(0)):
                 flat, lengths = _tokens(run)
+                flat = np.minimum(flat, np.uint32(tail))
                 doc = np.repeat(np.arange(len(lengths)), lengths)
                 common = flat < 256
                 cell = doc[common] * PROFILE + bucket[flat[common]]
@@ -224,12 +274,46 @@ def frequent_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
     return top["word"].tolist(), top["c"].to_numpy(np.int64)
 
 
+def _trees(classes: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, forks, sides, lean) of a Model: Huffman trees of the words of
+    every class, from the classes of the frequent words and their counts."""
+    n = len(c)
+    parent, side, lean = [0] * n, [0] * n, [0.0]  # fork 0 is none
+    for k in range(1, CLASSES):
+        heap = [(int(c[j]), j) for j in np.flatnonzero(classes[:n] == k).tolist()]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (x, a), (y, b) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[a] = parent[b] = new = len(parent)
+            side[b] = 1
+            parent.append(0)
+            side.append(0)
+            lean.append(math.log(y / x))
+            heapq.heappush(heap, (x + y, new))
+    up, way = np.array(parent, np.int64), np.array(side, np.float32)
+    word, at, steps = np.arange(n), np.arange(n), []
+    while len(word):  # one step up from every word not yet at a root
+        go = up[at] > 0
+        word, at = word[go], at[go]
+        steps.append((word, up[at] - (n - 1), way[at]))
+        at = up[at]
+    owner, forks, sides = (np.concatenate(x) for x in zip(*steps)) if steps else (np.empty(0, np.int64),) * 3
+    order = np.argsort(owner, kind="stable")
+    starts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n + 1))))  # the tail has none
+    return starts, forks[order].astype(np.uint32), sides[order].astype(np.float32), np.array(lean, np.float32)
+
+
+def row_bits(total: int) -> int:
+    """A weight row for every 1,024 training tokens; each brings 2^DEEP weights of forks."""
+    return min(max(BITS, (total // 1024).bit_length()), MOST_BITS)
+
+
 def train(texts: DataFrame, c: np.ndarray, total: int, distinct: int) -> Model:
     """A model of the rows of ``texts`` (id, ids), the encoded training
     documents; c: counts of the frequent words; total, distinct: of all."""
     n = len(c)
     model = Model(c, total, distinct, np.zeros(n + 1, np.int64), np.zeros(n + 1), total - int(c.sum()),
-                  distinct - n, np.zeros(CLASSES, np.float32), np.zeros((ROWS, CLASSES), np.float32))
+                  distinct - n, np.zeros(CLASSES, np.float32), np.zeros((1 << row_bits(total), CLASSES), np.float32))
     classes = np.zeros(n + 1, np.int64)
     if n:
         classes[:n] = 1 + _cluster(_profiles(texts, model) / c[:, None], c.astype(float), CLASSES - 1)
@@ -239,10 +323,13 @@ def train(texts: DataFrame, c: np.ndarray, total: int, distinct: int) -> Model:
     within[:n] = np.log(c / mass[classes[:n]])
     with np.errstate(divide="ignore"):
         bias = np.maximum(np.log(mass / max(mass.sum(), SMOOTH)), -60.0).astype(np.float32)  # classes without words
-    model = replace(model, classes=classes, within=within, bias=bias)
+    starts, forks, sides, lean = _trees(classes, c)
+    model = replace(model, classes=classes, within=within, bias=bias, starts=starts, forks=forks, sides=sides, lean=lean,
+                    deep=np.zeros(len(model.weights) << DEEP, np.float32))
     for k in range(ROUNDS if n else 0):
         part = texts.where(F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS)) == k)
-        model = replace(model, weights=_round(part, model))
+        weights, deep = _round(part, model)
+        model = replace(model, weights=weights, deep=deep)
     return model
 
 
@@ -253,40 +340,71 @@ def learn(model: Model, weights: np.ndarray, squares: np.ndarray, visits: np.nda
     g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(g)), target] -= 1
     flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    line = flat[order]
+    key = flat.astype(np.uint64) << np.uint64(32) | np.arange(len(flat), dtype=np.uint64)
+    key.sort()
+    order, line = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), key >> np.uint64(32)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
-    at = line[first]
+    at = line[first].astype(np.int64)
     total = np.add.reduceat(g[order % rows.shape[1]], first, axis=0)
     squares[at] += total * total
     weights[at] -= STEP * total / np.sqrt(squares[at] + 1e-6)
     visits[at] += np.diff(np.append(first, len(flat)))
 
 
-def _round(texts: DataFrame, model: Model) -> np.ndarray:
+def learn_sides(deep: np.ndarray, squares: np.ndarray, total: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> None:
+    """One gradient step on some forks, in place; ``total`` is zero before and after."""
+    flat = at.ravel().astype(np.int64)
+    w = deep[flat]
+    g = 1 / (1 + np.exp(-(w.reshape(at.shape).sum(axis=0) + lean))) - side
+    np.add.at(total, flat, np.tile(g, len(at)))
+    g = total[flat]
+    total[flat] = 0
+    s = squares[flat] + g * g  # a place that occurs twice is written twice alike
+    squares[flat] = s
+    deep[flat] = w - STEP * g / np.sqrt(s + 1)
+
+
+def _round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     shared, tail = texts.sparkSession.sparkContext.broadcast(model), len(model.counts)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        w = m.weights.copy()
-        squares, visits = np.full_like(w, 1.0), np.zeros(ROWS)
+        w, deep = m.weights.copy(), m.deep.copy()
+        squares, visits = np.full_like(w, 1.0), np.zeros(len(w))
+        deep_squares, total = np.zeros_like(deep), np.zeros_like(deep)
         for b in batches:
             for run in _slices(b.column(0)):
                 flat, lengths = _tokens(run)
-                rows, target = features(flat, lengths, tail + 1), m.classes[flat]
+                mixed, target = contexts(flat, lengths, tail + 1), m.classes[np.minimum(flat, np.uint32(tail))]
+                rows = place(mixed, np.uint32(0), m.bits)
                 for s in range(0, len(flat), BATCH):
                     learn(m, w, squares, visits, rows[:, s:s + BATCH], target[s:s + BATCH])
-        at = np.flatnonzero(visits)
-        moved = (w[at] - m.weights[at]) * visits[at, None]
-        yield pa.RecordBatch.from_pydict({"row": pa.array(at.astype(np.int32)), "n": pa.array(visits[at]),
-                                          **{f"d{k}": pa.array(moved[:, k].astype(np.float64)) for k in range(CLASSES)}})
-
-    schema = ", ".join(["row int", "n double", *(f"d{k} double" for k in range(CLASSES))])
-    got = (texts.select("ids").mapInArrow(local, schema).groupBy("row")
-           .agg(*((F.sum(f"d{k}") / F.sum("n")).alias(f"d{k}") for k in range(CLASSES))).toPandas())  # at most ROWS rows
-    out = model.weights.copy()
-    out[got["row"].to_numpy()] += got[[f"d{k}" for k in range(CLASSES)]].to_numpy(np.float32)
-    return out
+                at, side, lean, _ = decisions(m, flat, mixed)
+                for s in range(0, len(side), BATCH):
+                    learn_sides(deep, deep_squares, total, at[:, s:s + BATCH], side[s:s + BATCH], lean[s:s + BATCH])
+        n = np.concatenate((np.repeat(visits, CLASSES), deep_squares)).astype(np.float32).reshape(-1, BLOCK)
+        moved = np.concatenate(((w - m.weights).ravel(), deep - m.deep)).reshape(-1, BLOCK) * n
+        for at in np.array_split(np.flatnonzero(n.any(axis=1)), 16):
+            yield pa.RecordBatch.from_pydict({"block": pa.array(at.astype(np.int32)),
+                                              "n": pa.array([n[k].tobytes() for k in at], pa.binary()),
+                                              "moved": pa.array([moved[k].tobytes() for k in at], pa.binary())})
+
+    def mean(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, moved = np.zeros(BLOCK), np.zeros(BLOCK)
+        for b in tables:
+            for x, y in zip(b.column("n").to_pylist(), b.column("moved").to_pylist()):
+                n += np.frombuffer(x, np.float32)
+                moved += np.frombuffer(y, np.float32)
+        change = np.divide(moved, n, out=np.zeros(BLOCK), where=n > 0).astype(np.float32)
+        yield pa.RecordBatch.from_pydict({"block": b.column("block")[:1], "moved": pa.array([change.tobytes()], pa.binary())})
+
+    got = (texts.select("ids").mapInArrow(local, "block int, n binary, moved binary").groupBy("block")
+           .applyInArrow(mean, "block int, moved binary").toArrow())  # at most the weights
+    change = np.zeros(((model.weights.size + model.deep.size) // BLOCK, BLOCK), np.float32)
+    for k, x in zip(got["block"].to_pylist(), got["moved"].to_pylist()):
+        change[k] = np.frombuffer(x, np.float32)
+    change = change.ravel()
+    return model.weights + change[:model.weights.size].reshape(-1, CLASSES), model.deep + change[model.weights.size:]
 
 
 _PART = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double>"
@@ -295,7 +413,7 @@ _PART = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double>"
 def _partial(shared) -> Column:
     @F.arrow_udf(_PART)
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """Sums over frequent words and over classes."""
+        """Sums over frequent words, over classes and over forks."""
         m = shared.value
         tail = len(m.counts)
         base = np.append(m.base(m.counts), 0.0)
@@ -303,13 +421,20 @@ def _partial(shared) -> Column:
             sums = defaultdict(list)
             for part in _slices(batch):
                 flat, lengths = _tokens(part)
-                rows, target = features(flat, lengths, tail + 1), m.classes[flat]
+                mixed, target = contexts(flat, lengths, tail + 1), m.classes[np.minimum(flat, np.uint32(tail))]
+                rows = place(mixed, np.uint32(0), m.bits)
                 logs = np.empty(len(flat))
                 for s in range(0, len(flat), BATCH):
                     logs[s:s + BATCH] = class_logs(m, m.weights, rows[:, s:s + BATCH], target[s:s + BATCH])
-                logs += m.within[flat]
+                places, side, lean, size = decisions(m, flat, mixed)
+                ways = np.empty(len(side) + 1)
+                for s in range(0, len(side), BATCH):
+                    ways[s:min(s + BATCH, len(side))] = side_logs(m.deep, places[:, s:s + BATCH], side[s:s + BATCH], lean[s:s + BATCH])
+                ways[-1] = 0
+                logs += np.where(size > 0, np.add.reduceat(ways, np.cumsum(size) - size), 0.0)
                 at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 sums["score"].append(np.add.reduceat(logs, at) / math.log(10))
+                flat = np.minimum(flat, np.uint32(tail))
                 sums["base"].append(np.add.reduceat(base[flat], at))
                 sums["known"].append(np.add.reduceat((flat < tail).astype(np.int64), at))
                 sums["n"].append(lengths)
