@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_tree, decontam, embedding_dedup, lang_id, lm_score, shard, simhash, token_count, toxicity
+from . import bpe, chat_tree, decontam, embedding_dedup, fim, lang_id, lm_score, shard, simhash, token_count, toxicity
 from .common import read, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -103,6 +103,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(fim.restore().cast("binary"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tok,
+  sha256('1:' || doc_id) AS d FROM documents),
+c AS (SELECT doc_id, text, tok, len(tok) AS n, ('0x' || d[1:8])::BIGINT % (len(tok) + 1) AS a, ('0x' || d[9:16])::BIGINT % (len(tok) + 1) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || d[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+    WHEN ('0x' || d[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(tok[1:least(a, b)], '') AS pre, array_to_string(tok[least(a, b) + 1:greatest(a, b)], '') AS mid,
+  array_to_string(tok[greatest(a, b) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+  sha256(pre || mid || suf) AS restored_sha256
+FROM p"""
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_lm_score": op2_lm_score,
@@ -114,8 +134,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL}
+    return {"op8_chat_format": OP8_SQL, "op13_fill_in_middle": OP13_SQL}
