@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_tree, decontam, embedding_dedup, fim, lang_id, lm_score, shard, simhash, token_count, toxicity
+from . import bpe, chat_tree, collocation, decontam, embedding_dedup, fim, lang_id, lm_score, shard, simhash, token_count, toxicity
 from .common import read, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -103,6 +103,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocation.collocations(read(spark, sf_dir, "documents"), most_words=3, least=10, covered=50, top=2000)
+    return found.drop("with_left", "with_right")
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda s: array_to_string(w[s:s + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS d(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+t AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
+cut AS (SELECT t.lang, t.phrase, t.k, t.c AS a, d.c AS l, e.c AS r, i,
+    1000000 * t.c::HUGEINT * t.c::HUGEINT // (d.c::HUGEINT * e.c::HUGEINT) AS score
+  FROM t, (VALUES (1), (2)) AS v(i), f AS d, f AS e WHERE i < t.k
+    AND d.lang = t.lang AND d.phrase = array_to_string(t.w[:i], ' ') AND e.lang = t.lang AND e.phrase = array_to_string(t.w[i + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inner_of AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, c FROM t WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' '), c FROM t WHERE k = 3),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_of o WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.c >= 50 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000"""
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fim.transform(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
@@ -134,9 +160,10 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {"op8_chat_format": OP8_SQL, "op12_collocations": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
