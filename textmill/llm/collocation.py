@@ -19,7 +19,9 @@ exact counts drop: it costs time, never rows.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +34,21 @@ from pyspark.sql import functions as F
 from .common import stored, text_bytes
 from .fm_index import FMIndex, Grams
 
-SHARD = 1 << 20        # words of a shard, about
-SEGMENT = 1 << 20      # bytes of a text that are split at once
+SHARD = 1 << 22        # bytes of a shard, about
+SEGMENT = 1 << 20      # bytes of a text taken at once
 FILTER_BITS = 27       # log2 of the bits of a filter, at most
 
 _PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
 _CUT = re.compile(rb"[ \t.,;:!?\n\x0b\x0c\r]")
 
 
+def plain(text: bytes) -> bytes:
+    """A text with A-Z lower-cased and b"." for every end of a piece, blanks around it."""
+    return text.lower().translate(_PIECES).replace(b".", b" . ")
+
+
 def words(text: bytes) -> list[bytes]:
-    """The lower-cased (A-Z) words of a text, with b"." between pieces."""
-    return text.lower().translate(_PIECES).replace(b".", b" . ").split()
+    return plain(text).split()
 
 
 def segments(text: bytes) -> Iterator[bytes]:
@@ -55,45 +61,69 @@ def segments(text: bytes) -> Iterator[bytes]:
         start = end
 
 
-class Names:
-    """Ids of the words of a shard, from 1, by language; 0 is the separator."""
-
-    def __init__(self):
-        self.word: list[bytes] = [b"."]
-        self.group: list[str] = [""]
-        self.of: dict[str, dict[bytes, int]] = {}
-
-    def ids(self, group: str, found: list[bytes]) -> np.ndarray:
-        of = self.of.setdefault(group, {b".": 0})
-        for w in set(found).difference(of):
-            of[w] = len(self.word)
-            self.word.append(w)
-            self.group.append(group)
-        return np.fromiter(map(of.__getitem__, found), np.int64, len(found))
-
-
-def shards(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[Names, np.ndarray, int]]:
-    """(names, sequence, sign) of the texts (columns grp, body) of a task; the
-    overlap of a text that goes on in the next shard follows with sign -1."""
-    names, parts, size = Names(), [np.zeros(1, np.int64)], 0
+def blank_split(text: bytes) -> pa.Array:
+    """The words of a text as Arrow strings, split in one pass."""
+    if not text:
+        return pa.array([], pa.binary())
+    whole = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(text)], np.int32)), pa.py_buffer(text)])
+    out = pc.ascii_split_whitespace(whole).flatten().view(pa.binary())
+    blank = len(out) > 0 and out[0].as_py() == b"", len(out) > 1 and out[-1].as_py() == b""  # before and after the blanks at the ends
+    return out[int(blank[0]):len(out) - int(blank[1])]
+
+
+@dataclass(frozen=True)
+class Shard:
+    """Word ids from 1 (0: end of a piece), by group; what they stand for."""
+    seq: np.ndarray
+    word: pa.Array      # of every id, that of 0 empty
+    group: np.ndarray   # of every id, its place in groups
+    groups: list[str]
+    sign: int           # -1: its n-grams are subtracted
+
+    @classmethod
+    def of(cls, texts: dict[str, list[bytes]], sign: int) -> Shard:
+        parts, word, group, known = [np.zeros(1, np.int64)], [pa.array([b""], pa.binary())], [np.zeros(1, np.int64)], 1
+        for k, (g, some) in enumerate(texts.items()):
+            found = blank_split(plain(b". ".join(some))).dictionary_encode()
+            ids = found.indices.to_numpy().astype(np.int64)
+            end = pc.index(found.dictionary, pa.scalar(b".", pa.binary())).as_py()
+            seq = ids + known
+            if end >= 0:
+                seq[ids == end] = 0
+            parts += seq, np.zeros(1, np.int64)
+            word.append(found.dictionary)
+            group.append(np.full(len(found.dictionary), k))
+            known += len(found.dictionary)
+        seq = np.concatenate(parts)
+        seq = seq[np.append(True, (seq[1:] > 0) | (seq[:-1] > 0))]  # one separator is enough
+        return cls(seq, pa.concat_arrays(word), np.concatenate(group), list(texts), sign)
+
+
+def shards(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[Shard]:
+    """The texts (columns grp, body) of a task.  A long text goes on in
+    another segment after its last words, which are subtracted."""
+    texts, again, size = defaultdict(list), defaultdict(list), 0
     for b in batches:
         for group, body in zip(b.column("grp").to_pylist(), b.column("body")):
-            for segment in segments(body.as_py()):
-                parts.append(names.ids(group, words(segment)))
-                size += len(parts[-1])
-                if size < SHARD:
-                    continue
-                tail = np.concatenate(parts[-3:])[-depth:] if len(parts[-1]) >= depth else np.concatenate(parts)[-depth:]
-                tail = tail[np.flatnonzero(np.append(0, tail) == 0)[-1]:]  # after the last separator
-                yield names, np.concatenate([*parts, [0]]), 1
-                over = [names.word[k] for k in tail]
-                names = Names()
-                parts, size = [np.zeros(1, np.int64), names.ids(group, over)], len(over)
-                if over:
-                    yield names, np.concatenate([*parts, [0]]), -1
-            parts.append(np.zeros(1, np.int64))
-    if size:
-        yield names, np.concatenate(parts), 1
+            body, before = body.as_py(), b""
+            for segment in segments(body):
+                if before:
+                    again[group].append(before)
+                    segment = before + b" " + segment
+                texts[group].append(segment)
+                size += len(segment)
+                if len(body) > SEGMENT:
+                    last = words(segment)[-depth:]
+                    before = b" ".join(last[max((k + 1 for k, w in enumerate(last) if w == b"."), default=0):])
+                if size >= SHARD:
+                    yield Shard.of(texts, 1)
+                    if again:
+                        yield Shard.of(again, -1)
+                    texts, again, size = defaultdict(list), defaultdict(list), 0
+    if texts:
+        yield Shard.of(texts, 1)
+    if again:
+        yield Shard.of(again, -1)
 
 
 def rotated(h: np.ndarray, by: int) -> np.ndarray:
@@ -101,9 +131,23 @@ def rotated(h: np.ndarray, by: int) -> np.ndarray:
     return h << np.uint64(by) | h >> np.uint64(64 - by) if by else h
 
 
-def word_hashes(names: Names) -> np.ndarray:
-    seeds = {g: xxhash.xxh64_intdigest(g.encode(), 42) for g in names.of}
-    return np.fromiter((xxhash.xxh64_intdigest(w, seeds.get(g, 0)) for w, g in zip(names.word, names.group)), np.uint64, len(names.word))
+def word_hashes(shard: Shard) -> np.ndarray:
+    """A hash of every word and group: the sum of a mixed number for each
+    byte and its place."""
+    offsets = np.frombuffer(shard.word.buffers()[1], np.int32)[shard.word.offset:shard.word.offset + len(shard.word) + 1].astype(np.int64)
+    data = np.frombuffer(shard.word.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64)
+    size = np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1] - offsets[0], size)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(data + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(1)))))
+    own = total[offsets[1:] - offsets[0]] - total[offsets[:-1] - offsets[0]]
+    seeds = np.array([xxhash.xxh64_intdigest(g.encode()) for g in shard.groups], np.uint64)
+    return mixed(own ^ seeds[shard.group])
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
 
 def gram_hashes(ids: np.ndarray, of_word: np.ndarray) -> np.ndarray:
@@ -138,11 +182,11 @@ def keeper(of_word: np.ndarray, filters: list[np.ndarray]) -> Callable[[np.ndarr
 def _hash_counts(texts: DataFrame, n: int, filters: list[Broadcast]) -> DataFrame:
     """(h, c): the hashes of the n-grams of n words whose parts pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, seq, sign in shards(batches, n):
-            of_word = word_hashes(names)
-            *_, grams = FMIndex(seq, n).ngrams(n, keeper(of_word, [f.value for f in filters]))
+        for shard in shards(batches, n):
+            of_word = word_hashes(shard)
+            *_, grams = FMIndex(shard.seq, n).ngrams(n, keeper(of_word, [f.value for f in filters]))
             yield pa.RecordBatch.from_pydict({"h": pa.array(gram_hashes(grams.ids, of_word).view(np.int64)),
-                                              "c": pa.array(sign * grams.size.astype(np.int64))})
+                                              "c": pa.array(shard.sign * grams.size.astype(np.int64))})
 
     return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
@@ -165,27 +209,23 @@ def _gram_counts(texts: DataFrame, depth: int, filters: list[Broadcast]) -> Data
     """(grp, phrase, words, c, with_left, with_right) of the n-grams of up to
     ``depth`` words that pass, and the number of all words as that of the
     phrase without words."""
-    def rows(names: Names, word: pa.Array, group: pa.Array, index: FMIndex, grams: Grams, sign: int) -> pa.RecordBatch:
-        sides = index.neighbours(grams)
-        parts = [word.take(pa.array(k)) for k in grams.ids]
+    def rows(shard: Shard, group: np.ndarray, parts: list[pa.Array], *counts: np.ndarray) -> pa.RecordBatch:
+        phrase = pc.binary_join_element_wise(*parts, b" ") if len(parts) > 1 else parts[0]
+        names = pa.array(shard.groups, pa.string()).take(pa.array(group))
         return pa.RecordBatch.from_pydict({
-            "grp": group.take(pa.array(grams.ids[0])), "phrase": pc.binary_join_element_wise(*parts, b" ") if len(parts) > 1 else parts[0],
-            "words": pa.array(np.full(len(grams.size), len(parts), np.int32)),
-            **{k: pa.array(sign * x.astype(np.int64)) for k, x in zip(("c", "with_left", "with_right"), (grams.size, *sides))}})
+            "grp": names, "phrase": phrase, "words": pa.array(np.full(len(group), len(parts) if len(phrase) and parts[0][0].as_py() else 0, np.int32)),
+            **{k: pa.array(shard.sign * x.astype(np.int64)) for k, x in zip(("c", "with_left", "with_right"), counts)}})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, seq, sign in shards(batches, depth):
-            of_word, index = word_hashes(names), FMIndex(seq, depth)
-            word, group = pa.array(names.word, pa.binary()), pa.array(names.group, pa.string())
-            total: dict[str, int] = {}
-            for g, c in zip(names.group[1:], index.counts[1:].tolist()):
-                total[g] = total.get(g, 0) + sign * c
-            k = len(total)
-            yield pa.RecordBatch.from_pydict({
-                "grp": pa.array(list(total), pa.string()), "phrase": pa.array([b""] * k, pa.binary()), "words": pa.array([0] * k, pa.int32()),
-                "c": pa.array(list(total.values()), pa.int64()), "with_left": pa.array([0] * k, pa.int64()), "with_right": pa.array([0] * k, pa.int64())})
+        for shard in shards(batches, depth):
+            of_word, index = word_hashes(shard), FMIndex(shard.seq, depth)
+            counts = np.pad(index.counts, (0, len(shard.word) - len(index.counts)))
+            total = np.bincount(shard.group[1:], weights=counts[1:], minlength=len(shard.groups))
+            none = np.zeros(len(total))
+            yield rows(shard, np.arange(len(total)), [pa.array([b""] * len(total), pa.binary())], total, none, none)
             for grams in index.ngrams(depth, keeper(of_word, [f.value for f in filters])):
-                yield rows(names, word, group, index, grams, sign)
+                parts = [shard.word.take(pa.array(k)) for k in grams.ids]
+                yield rows(shard, shard.group[grams.ids[0]], parts, grams.size, *index.neighbours(grams))
 
     schema = "grp string, phrase binary, words int, c long, with_left long, with_right long"
     return (texts.mapInArrow(run, schema).groupBy("grp", F.col("phrase").cast("string").alias("phrase"), "words")
@@ -204,7 +244,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", group_col: str = "lan
     empty; rows that repeat count as often as they stand."""
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("grp"), text_bytes(text_col).alias("body"))
     context, filters = docs.sparkSession.sparkContext, []
-    for n in range(1, most_words):
+    for n in range(1, most_words + 1):
         filters.append(context.broadcast(_filter(_hash_counts(texts, n, filters).where(F.col("c") >= least))))
     return _gram_counts(texts, most_words, filters).where((F.col("words") == 0) | (F.col("c") >= least))
 

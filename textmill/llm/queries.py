@@ -117,10 +117,11 @@ g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda s:
 f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
 t AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
-cut AS (SELECT t.lang, t.phrase, t.k, t.c AS a, d.c AS l, e.c AS r, i,
-    1000000 * t.c::HUGEINT * t.c::HUGEINT // (d.c::HUGEINT * e.c::HUGEINT) AS score
-  FROM t, (VALUES (1), (2)) AS v(i), f AS d, f AS e WHERE i < t.k
-    AND d.lang = t.lang AND d.phrase = array_to_string(t.w[:i], ' ') AND e.lang = t.lang AND e.phrase = array_to_string(t.w[i + 1:], ' ')),
+named AS (SELECT lang || ':' || phrase AS name, c AS m FROM f WHERE c >= 10),
+parts AS (SELECT lang, phrase, c AS a, i, lang || ':' || array_to_string(w[:i], ' ') AS head, lang || ':' || array_to_string(w[i + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM t)),
+cut AS (SELECT x.lang, x.phrase, x.a, x.i, d.m AS l, e.m AS r, 1000000 * x.a::HUGEINT * x.a::HUGEINT // (d.m::HUGEINT * e.m::HUGEINT) AS score
+  FROM parts x JOIN named d ON d.name = x.head JOIN named e ON e.name = x.rest),
 best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
 inner_of AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, c FROM t WHERE k = 3
   UNION ALL SELECT lang, array_to_string(w[2:3], ' '), c FROM t WHERE k = 3),
