@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_tree, collocation, decontam, embedding_dedup, fim, lang_id, lm_score, shard, simhash, token_count, toxicity
+from . import bpe, chat_tree, collocation, decontam, embedding_dedup, fim, lang_id, lm_score, secret_scan, shard, simhash, token_count, toxicity
 from .common import read, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -103,6 +103,38 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontam.items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]),
+                        F.sha2(secret_scan.as_text("base").cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.as_text(secret_scan.merged()).alias("spans"))
+
+
+# Positions by the lengths of the pieces between matches; every window of a candidate measured on its own.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+p AS (SELECT 'assign' AS kind, 0 AS rank, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)' AS rx
+  UNION ALL SELECT 'access', 1, 'AKIA[A-Z0-9]+' UNION ALL SELECT 'hex', 2, '[0-9a-f]{24,}' UNION ALL SELECT 'entropy', 3, '[A-Za-z0-9+/_=-]{20,}'),
+m AS (SELECT doc_id, kind, rank, rx, regexp_extract_all(t, rx) AS found, regexp_split_to_array(t, rx) AS between FROM d, p WHERE regexp_matches(t, rx)),
+s AS (SELECT doc_id, unnest(list_transform(range(1, len(found) + 1), lambda i: {'kind': kind, 'rank': rank, 'f': found[i], 'a': CAST(
+  list_sum(list_transform(between[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0) AS BIGINT)}), recursive := true) FROM m),
+base AS (SELECT doc_id, kind, rank, a, a + length(f) AS b FROM s WHERE
+  kind = 'hex' OR kind = 'access' AND length(f) >= 20 OR kind = 'assign' AND length(regexp_extract(f, (SELECT rx FROM p WHERE kind = 'assign'), 2)) >= 6),
+c AS (SELECT doc_id, f, a, CASE WHEN regexp_full_match(f, '[0-9A-Fa-f]+') THEN 3 ELSE 4 END AS rank FROM s WHERE kind = 'entropy'
+  AND regexp_matches(f, '[0-9]') AND regexp_matches(f, '[A-Za-z]')
+  AND NOT regexp_matches(f, '^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|sample|placeholder|x{4}|0123456789|abcdefgh|qwertyui', 'i')),
+w AS (SELECT doc_id, a, rank, list_filter(range(0, length(f) - 19), lambda k:
+  list_aggregate(string_split(f[k + 1:k + 20], ''), 'entropy') >= CASE rank WHEN 3 THEN 3.0 ELSE 3.8 END) AS hot FROM c),
+added AS (SELECT doc_id, CASE rank WHEN 3 THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind, rank, a + hot[1] AS a, a + hot[-1] + 20 AS b FROM w WHERE len(hot) > 0),
+kept AS (SELECT * FROM added x WHERE NOT EXISTS (SELECT 1 FROM base y WHERE y.doc_id = x.doc_id AND y.a <= x.a AND x.b <= y.b)),
+j AS (SELECT *, concat_ws(':', kind, a, b) AS said FROM (SELECT * FROM base UNION ALL SELECT * FROM kept))
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(said, ',' ORDER BY a, rank) FILTER (rank < 3), '')) AS base_sha256,
+  coalesce(string_agg(said, ',' ORDER BY a, rank), '') AS spans
+FROM d LEFT JOIN j ON j.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocation.collocations(read(spark, sf_dir, "documents"), most_words=3, least=10, covered=50, top=2000)
     return found.drop("with_left", "with_right")
@@ -161,10 +193,12 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op11_secret_scan": op11_secret_scan,
     "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL, "op12_collocations": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {"op8_chat_format": OP8_SQL, "op11_secret_scan": OP11_SQL, "op12_collocations": OP12_SQL,
+            "op13_fill_in_middle": OP13_SQL}
