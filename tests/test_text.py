@@ -108,3 +108,22 @@ def test_character_references(spark):
              "&there4;&NotEqualTilde; &#129;", "", "plain", "&&amp;&", "&lt;b&gt &ltx"]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     assert [r[0] for r in df.select(T._entity_decode(F.col("s"))).collect()] == [html.unescape(c) for c in cases]
+
+
+def test_unclosed_script_goes_and_is_read_once(spark):
+    import time
+    texts = ["keep <script>alert(1)", "a <STYLE x='y'>p{} </style >b", "a <script", "a <scripty>b", "<script>x</script\n>y<style>"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.collapse_ws(T.html_to_text("t"))).collect()]
+    assert got == ["keep", "a b", "a", "a b", "y"]
+    t0 = time.time()
+    long = spark.createDataFrame([("<script>" * 130_000,)], "t string").select(T.clean_base("t")).first()[0]
+    assert long == "" and time.time() - t0 < 10
+
+
+def test_values_bound_once(spark):
+    from textmill.functions import features as FT
+    from textmill.operators import clusters as CL
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([0.0, 0.0],)], "a array<double>")
+    soft, sig, unit = zip(*df.select(FT.softmax("a"), FT.normalised_sigmoid("a"), CL.l2_normalise("a")).collect())
+    assert abs(soft[0][2] - 0.66524096) < 1e-8 and soft[1] == [0.5, 0.5] and abs(sum(sig[0]) - 1) < 1e-12
+    assert abs(unit[0][0] - 14 ** -0.5) < 1e-12 and unit[1] == [0.0, 0.0]

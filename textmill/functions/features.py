@@ -49,19 +49,25 @@ def sigmoid(c) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body
+    refers to it inside another lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _shares(positive: Column) -> Column:
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
+    return let(positive, lambda v: let(total(v), lambda t: F.transform(v, lambda x: x / t)))
+
+
 def normalised_sigmoid(arr) -> Column:
     """Sigmoid of each score divided by the sum of the sigmoids."""
-    sig = F.transform(_col(arr), lambda x: sigmoid(x))
-    total = F.aggregate(sig, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(sig, lambda x: x / total)
+    return _shares(F.transform(_col(arr), lambda x: sigmoid(x)))
 
 
 def softmax(arr) -> Column:
     a = F.transform(_col(arr), lambda x: x.cast("double"))
-    m = F.array_max(a)
-    e = F.transform(a, lambda x: F.exp(x - m))
-    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / total)
+    return let(a, lambda v: let(F.array_max(v), lambda m: _shares(F.transform(v, lambda x: F.exp(x - m)))))
 
 
 def argmax(arr) -> Column:

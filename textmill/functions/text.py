@@ -137,8 +137,10 @@ def _entity_decode(s: Column) -> Column:
 def html_to_text(c) -> Column:
     """Text content of an HTML fragment, pieces joined by a space:
     script/style bodies, comments and declarations are removed, tags become
-    a space, character references are decoded."""
-    t = F.regexp_replace(_col(c), r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
+    a space, character references are decoded.  A script or style element that
+    is never closed goes to the end of the text, so each of its characters is
+    read once."""
+    t = F.regexp_replace(_col(c), r"(?is)<(script|style)\b[^>]*+(?:>.*?(?:</\1\s*+>|\z)|\z)", " ")
     t = F.regexp_replace(t, r"(?s)<!--.*?(-->|$)", " ")
     t = F.regexp_replace(t, r"<![^>]*>|<\?[^>]*>", " ")
     t = F.regexp_replace(t, _TAG, " ")

@@ -11,14 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.barrier import materialize
+from ..functions.features import let
 
 
 def l2_normalise(arr) -> Column:
-    """Unit vector.  The norm is referenced inside the lambda; pass a column
-    (or use :func:`with_unit`) so it is not recomputed per element."""
+    """Unit vector; zero vectors stay as they are."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.transform(a, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(x.cast("double")))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+    return let(F.transform(a, lambda x: x.cast("double")), lambda v: let(norm(v), lambda n: F.transform(
+        v, lambda x: F.when(n > 0, x / n).otherwise(x))))
 
 
 def with_unit(df: DataFrame, vec: str, out: str = "unit") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as FT
 from ..functions import text as T
-from ..functions.constants import (LEARNING_FRACTIONS, MONEY_KEYWORDS, english_stop_words)
+from ..functions.constants import LEARNING_FRACTIONS, MONEY_KEYWORDS, NO_DESCRIPTION
 from ..operators import clusters as CL
 from ..operators import dedup as DD
 from ..operators import eda as EDA
@@ -139,8 +139,8 @@ _TAG_SQL = r"""</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>"""
 
 
 def _html_sql(x: str) -> str:
-    t = f"regexp_replace({x}, '(?is)<(script)\\b[^>]*>.*?</script\\s*>', ' ', 'g')"
-    t = f"regexp_replace({t}, '(?is)<(style)\\b[^>]*>.*?</style\\s*>', ' ', 'g')"
+    t = f"regexp_replace({x}, '(?is)<script\\b[^>]*(>.*?(</script\\s*>|$)|$)', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?is)<style\\b[^>]*(>.*?(</style\\s*>|$)|$)', ' ', 'g')"
     t = f"regexp_replace({t}, '(?s)<!--.*?(-->|$)', ' ', 'g')"
     t = f"regexp_replace({t}, '<![^>]*>|<\\?[^>]*>', ' ', 'g')"
     t = f"regexp_replace({t}, {S.q(_TAG_SQL)}, ' ', 'g')"
@@ -203,12 +203,12 @@ def q_label_names(spark, d):
                     FT.label_name("label", "plain").alias("name_plain"), "n_rows")
 
 
-@register("label_standardise", """
+@register("label_standardise", f"""
 WITH raw AS (
   SELECT CAST(l.toxic AS VARCHAR) AS raw_label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
   UNION ALL SELECT role FROM conversations
   UNION ALL SELECT CASE WHEN quality = 1 THEN ' SPAM ' ELSE 'Safe Email' END FROM labels)
-SELECT raw_label, CASE lower(trim(raw_label)) WHEN 'phishing email' THEN 1 WHEN '1.0' THEN 1 WHEN '1' THEN 1
+SELECT raw_label, CASE lower({S.strip('raw_label')}) WHEN 'phishing email' THEN 1 WHEN '1.0' THEN 1 WHEN '1' THEN 1
   WHEN 'spam' THEN 1 WHEN 'safe email' THEN 0 WHEN '0.0' THEN 0 WHEN '0' THEN 0 WHEN 'ham' THEN 0
   WHEN 'not phishing' THEN 0 END AS label, count(*) AS n_rows
 FROM raw GROUP BY raw_label""")
@@ -237,7 +237,7 @@ def _drift_frames(spark, d):
     return DD.union_all([docs, conv, bench])
 
 
-@register("union_schema_drift", """
+@register("union_schema_drift", f"""
 WITH u AS (
   SELECT d.text AS text, NULL AS "Email Text", NULL AS body, CAST(l.toxic AS VARCHAR) AS label, NULL AS "Class",
          d.source AS source_file, d.doc_id AS record_id
@@ -245,7 +245,7 @@ WITH u AS (
   UNION ALL SELECT NULL, NULL, text, NULL, role, 'conversations', conv_id * 100 + turn FROM conversations
   UNION ALL SELECT NULL, text, NULL, NULL, NULL, 'benchmark', item_id FROM benchmark)
 SELECT coalesce(text, "Email Text", body) AS text, coalesce(label, "Class") AS raw_label,
-  CASE lower(trim(coalesce(label, "Class"))) WHEN 'phishing email' THEN 1 WHEN '1.0' THEN 1 WHEN '1' THEN 1
+  CASE lower({S.strip('coalesce(label, "Class")')}) WHEN 'phishing email' THEN 1 WHEN '1.0' THEN 1 WHEN '1' THEN 1
   WHEN 'spam' THEN 1 WHEN 'safe email' THEN 0 WHEN '0.0' THEN 0 WHEN '0' THEN 0 WHEN 'ham' THEN 0
   WHEN 'not phishing' THEN 0 END AS label, source_file, record_id FROM u""")
 def q_union_schema_drift(spark, d):
@@ -256,11 +256,11 @@ def q_union_schema_drift(spark, d):
                     T.standardise_label(raw).alias("label"), "source_file", "record_id")
 
 
-@register("unmapped_labels", """
+@register("unmapped_labels", f"""
 WITH u AS (SELECT CAST(l.toxic AS VARCHAR) AS raw FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
            UNION ALL SELECT role FROM conversations)
 SELECT raw AS raw_label, count(*) AS n_rows FROM u
-WHERE raw IS NOT NULL AND lower(trim(raw)) NOT IN ('phishing email','1.0','1','spam','safe email','0.0','0','ham','not phishing')
+WHERE raw IS NOT NULL AND lower({S.strip('raw')}) NOT IN ('phishing email','1.0','1','spam','safe email','0.0','0','ham','not phishing')
 GROUP BY raw""")
 def q_unmapped_labels(spark, d):
     u = _drift_frames(spark, d)
@@ -504,8 +504,8 @@ def q_stratified_sample(spark, d):
 
 @register("sample_and_combine", f"""
 WITH {S.LABELLED_CTE},
-d1 AS (SELECT * FROM labelled WHERE source_name = 'en'),
-d2 AS (SELECT * FROM labelled WHERE source_name <> 'en'),
+d1 AS (SELECT * FROM labelled WHERE source_name IS NOT DISTINCT FROM 'en'),
+d2 AS (SELECT * FROM labelled WHERE source_name IS DISTINCT FROM 'en'),
 r AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(record_id AS VARCHAR)), record_id) AS rk FROM d1)
 SELECT record_id, label, 'd1' AS origin FROM r WHERE rk <= greatest(100000 - (SELECT count(*) FROM d2), 0)
 UNION ALL SELECT record_id, label, 'd2' FROM d2""")
@@ -536,7 +536,14 @@ def q_inspection_sample(spark, d):
     return SM.inspection_sample(labelled(spark, d)).select("record_id", "label")
 
 
-@register("balanced_resample")
+@register("balanced_resample", f"""
+WITH {S.LABELLED_CTE},
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(record_id AS VARCHAR)), record_id) AS r FROM labelled),
+c AS (SELECT label, count(*) AS n_c, row_number() OVER (ORDER BY label) - 1 AS ci FROM labelled GROUP BY label),
+dr AS (SELECT unnest(range((SELECT count(*) FROM labelled))) AS draw),
+p AS (SELECT draw, label, 1 + ('0x' || substr(md5('42:draw:' || CAST(draw AS VARCHAR)), 1, 15))::BIGINT % n_c AS pick
+  FROM dr JOIN c ON draw % (SELECT count(*) FROM c) = ci)
+SELECT p.draw, rk.record_id, rk.label FROM p JOIN rk ON rk.label = p.label AND rk.r = p.pick""")
 def q_balanced_resample(spark, d):
     return SM.balanced_resample(labelled(spark, d)).select("draw", "record_id", "label")
 
@@ -843,28 +850,27 @@ def q_model_inference_accuracy(spark, d):
 
 
 @register("sigmoid_scores", """
-SELECT vec_id, round(1.0 / (1.0 + exp(-greatest(-250.0, least(250.0, CAST(embedding[1] AS DOUBLE) * 100)))), 6) AS prob FROM embeddings""")
+SELECT vec_id, list_transform(embedding, lambda x: round(1.0 / (1.0 + exp(-greatest(-250.0, least(250.0, CAST(x AS DOUBLE) * 100)))), 6)) AS probs FROM embeddings""")
 def q_sigmoid_scores(spark, d):
     e = table(spark, d, "embeddings")
-    return e.select("vec_id", r6(FT.sigmoid(F.element_at("embedding", 1).cast("double") * 100)).alias("prob"))
+    return e.select("vec_id", F.transform("embedding", lambda x: F.round(FT.sigmoid(x.cast("double") * 100), 6)).alias("probs"))
 
 
 @register("normalised_sigmoid", """
-WITH s AS (SELECT vec_id, list_transform(embedding[1:3], lambda x: 1.0 / (1.0 + exp(-greatest(-250.0, least(250.0, CAST(x AS DOUBLE)))))) AS sg FROM embeddings)
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: 1.0 / (1.0 + exp(-greatest(-250.0, least(250.0, CAST(x AS DOUBLE)))))) AS sg FROM embeddings)
 SELECT vec_id, list_transform(sg, lambda x: round(x / list_sum(sg), 6)) AS probs FROM s""")
 def q_normalised_sigmoid(spark, d):
     e = table(spark, d, "embeddings")
-    p = FT.normalised_sigmoid(F.slice("embedding", 1, 3))
-    return e.select("vec_id", F.transform(p, lambda x: F.round(x, 6)).alias("probs"))
+    return e.select("vec_id", F.transform(FT.normalised_sigmoid("embedding"), lambda x: F.round(x, 6)).alias("probs"))
 
 
 @register("softmax_argmax", """
-WITH s AS (SELECT vec_id, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10) AS lg FROM embeddings),
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 10) AS lg FROM embeddings),
 e AS (SELECT vec_id, lg, list_transform(lg, lambda x: exp(x - list_max(lg))) AS ex FROM s),
 p AS (SELECT vec_id, lg, list_transform(ex, lambda x: x / list_sum(ex)) AS pr FROM e)
 SELECT vec_id, CAST(list_position(lg, list_max(lg)) - 1 AS INTEGER) AS pred_class, round(list_max(pr), 6) AS confidence FROM p""")
 def q_softmax_argmax(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * 10).alias("lg"))
+    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * 10).alias("lg"))
     return e.select("vec_id", FT.argmax("lg").alias("pred_class"), r6(F.array_max(FT.softmax("lg"))).alias("confidence"))
 
 
@@ -889,9 +895,6 @@ def q_ensemble_vote(spark, d):
 # TF-IDF, scalers, closed-form naive Bayes, interpretation
 # ---------------------------------------------------------------------------
 
-_TFIDF_MAX = 20000  # of the oracle SQL only; the queries keep MAX_FEATURES terms
-
-
 def _tfidf_corpus(spark, d):
     return labelled(spark, d).select("record_id", T.clean_aggressive("text").alias("text"))
 
@@ -901,7 +904,7 @@ c AS (SELECT record_id AS doc_id, {S.tokens_no_stop(S.clean_aggressive('text'))}
 terms AS (SELECT doc_id, unnest(toks) AS term FROM c UNION ALL SELECT doc_id, unnest({S.bigrams('toks')}) FROM c),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
 stats AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term),
-vocab AS (SELECT *, row_number() OVER (ORDER BY total DESC, term) - 1 AS term_index FROM stats ORDER BY total DESC, term LIMIT {_TFIDF_MAX}),
+vocab AS (SELECT *, row_number() OVER (ORDER BY total DESC, term) - 1 AS term_index FROM stats ORDER BY total DESC, term LIMIT {MAX_FEATURES}),
 idf AS (SELECT *, ln((1.0 + (SELECT count(*) FROM labelled)) / (1.0 + df)) + 1.0 AS idf FROM vocab),
 w AS (SELECT tf.doc_id, tf.term, CAST(term_index AS INTEGER) AS term_index, tf.tf, tf.tf * idf AS raw FROM tf JOIN idf USING (term)),
 tfidf AS (SELECT doc_id, term, term_index, tf, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS tfidf FROM w)"""
@@ -980,7 +983,7 @@ den AS (SELECT label, ln(sum(n_tc) + 1.0 * (SELECT v FROM vs)) AS log_denom FROM
 lp AS (SELECT label, term, ln(n_tc + 1.0) - log_denom AS log_p FROM tc JOIN den USING (label)),
 cls AS (SELECT label, log_prior, ln(1.0) - log_denom AS log_p0 FROM pri JOIN den USING (label)),
 te AS (SELECT tf.* FROM tf JOIN c USING (doc_id) WHERE c.split = 'test' AND tf.term IN (SELECT term FROM tr)),
-docs AS (SELECT DISTINCT tf.doc_id FROM tf JOIN c USING (doc_id) WHERE c.split = 'test'),
+docs AS (SELECT DISTINCT doc_id FROM c WHERE split = 'test'),
 ll AS (SELECT te.doc_id, cls.label, sum(te.tf * coalesce(lp.log_p, cls.log_p0)) AS ll FROM te CROSS JOIN cls
        LEFT JOIN lp ON lp.label = cls.label AND lp.term = te.term GROUP BY te.doc_id, cls.label),
 sc AS (SELECT docs.doc_id, cls.label, cls.log_prior + coalesce(ll.ll, 0.0) AS log_score FROM docs CROSS JOIN cls
@@ -1154,17 +1157,38 @@ def q_page_links(spark, d):
     return PG.page_links(table(spark, d, "pages"))
 
 
-@register("page_extract")
+def _inner_sql(x: str) -> str:
+    return S.collapse(_html_sql(x))
+
+
+_EXTRACT_SQL = rf"""
+a AS (SELECT page_id, url, html, regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article\s*>', 1) AS art FROM pages),
+x AS (SELECT page_id, {_inner_sql(r"regexp_extract(html, '(?is)<h[1-6]\b[^>]*>(.*?)</h[1-6]\s*>', 1)")} AS heading,
+  {_inner_sql(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)")} AS doc_title, url,
+  {_inner_sql(r"regexp_extract(art, '(?is)<p\b[^>]*>(.*?)(<p\b|</p\s*>|</article|$)', 1)")} AS first_p, {_inner_sql('art')} AS body FROM a),
+page AS (SELECT page_id, coalesce(nullif(heading, ''), doc_title) AS title, url AS link,
+  coalesce(nullif(first_p, ''), nullif(body, ''), {S.q(NO_DESCRIPTION)}) AS description FROM x)"""
+
+
+@register("page_extract", f"WITH {_EXTRACT_SQL} SELECT * FROM page")
 def q_page_extract(spark, d):
     return PG.page_extract(table(spark, d, "pages"))
 
 
-@register("page_section")
+@register("page_section", rf"""
+WITH r AS (SELECT page_id, regexp_extract(html, '(?is)</h[1-6]\s*>(.*)$', 1) AS rest FROM pages),
+n AS (SELECT *, unnest(range(1, 6)) AS k FROM r),
+p AS (SELECT page_id, k, regexp_replace(regexp_split_to_array(rest, '(?i)<p\b[^>]*>')[k + 1], '(?is)(</p\s*>|</article).*', '') AS para FROM n),
+t AS (SELECT page_id, k, {_inner_sql('para')} AS body FROM p WHERE para IS NOT NULL)
+SELECT r.page_id, coalesce(arg_min(body, k) FILTER (contains(lower(body), 'the')), arg_min(body, k)) AS section,
+  count(*) FILTER (contains(lower(body), 'the')) > 0 AS keyword_found
+FROM r LEFT JOIN t ON t.page_id = r.page_id GROUP BY r.page_id""")
 def q_page_section(spark, d):
     return PG.page_section(table(spark, d, "pages"), keyword="the")
 
 
-@register("combine_title_body")
+@register("combine_title_body", f"""WITH {_EXTRACT_SQL}
+SELECT page_id, 'Title: ' || title || chr(10) || chr(10) || description AS combined_text, 1 AS true_label, 'Bait' AS true_label_name FROM page""")
 def q_combine_title_body(spark, d):
     p = PG.page_extract(table(spark, d, "pages")).select("page_id", F.col("title").alias("Title"),
                                                           F.col("description").alias("Text"))
@@ -1179,7 +1203,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLE)
-
-
-def stop_words_list():
-    return list(english_stop_words())

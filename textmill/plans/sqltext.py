@@ -42,6 +42,10 @@ def collapse(x: str) -> str:
     return f"trim(regexp_replace({x}, '[{WS}]+', ' ', 'g'))"
 
 
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
 def url_mask(x: str, token: str) -> str:
     return f"regexp_replace({x}, {q(URL_PATTERN)}, {q(token)}, 'g')"
 
