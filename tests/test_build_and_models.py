@@ -34,7 +34,8 @@ def test_models_fit_score_persist(spark):
     df = _ml_frames(spark).cache()
     for kind in ("logistic_regression", "linear_svc", "naive_bayes", "sgd_hinge"):
         model, wm, scored = MD.train_and_evaluate(kind, df, df, max_features=500)
-        assert 0.0 <= wm["accuracy"] <= 1.0
+        share = df.agg(F.avg("label")).first()[0]
+        assert wm["accuracy"] >= max(share, 1 - share)  # on its own rows at least the larger class
         r = scored.select(F.min("confidence"), F.max("confidence")).first()
         assert 0.5 <= r[0] <= r[1] <= 1.0
         assert MD.parameter_count(model) > 0

@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer, StandardScaler,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (LEARNING_FRACTIONS, PUNCT_CLASS, SEED, WORD_CLASS, WS_CLASS,
                                    english_stop_words)
+from . import linear as LN
 from . import metrics as MT
 from . import sampling as SM
 from . import tfidf as TF
@@ -67,18 +68,21 @@ class TfidfFeaturizer(Estimator, HasInputCol, HasOutputCol):
     maxFeatures = Param(Params._dummy(), "maxFeatures", "vocabulary size", typeConverter=TypeConverters.toInt)
     ngramMax = Param(Params._dummy(), "ngramMax", "largest n-gram", typeConverter=TypeConverters.toInt)
     scaler = Param(Params._dummy(), "scaler", "'standard' or 'minmax'", typeConverter=TypeConverters.toString)
+    prepared = Param(Params._dummy(), "prepared", "rows come from with_terms", typeConverter=TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, inputCol="text", outputCol="features", maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard"):
+    def __init__(self, inputCol="text", outputCol="features", maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard", prepared=False):
         super().__init__()
-        self._setDefault(maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard", inputCol="text", outputCol="features")
+        self._setDefault(maxFeatures=MAX_FEATURES, ngramMax=2, scaler="standard", prepared=False, inputCol="text", outputCol="features")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         text, out = self.getInputCol(), self.getOutputCol()
         k, n_max, scaler = self.getOrDefault(self.maxFeatures), self.getOrDefault(self.ngramMax), self.getOrDefault(self.scaler)
         sqlt = SQLTransformer(statement=terms_sql(text, (1, n_max)))
-        stats = TF.term_stats(sqlt.transform(df).select("terms"))
+        first = [] if self.getOrDefault(self.prepared) else [sqlt]
+        ready = sqlt.transform(df) if first else df
+        stats = TF.term_stats(ready.select("terms"))
         vocab = TF.idf_table(TF.top_terms(stats, k), df).orderBy("term_index").select("term", "idf").collect()
         terms = [r["term"] for r in vocab] or ["__empty__"]
         idf = [float(r["idf"]) for r in vocab] or [0.0]
@@ -86,14 +90,21 @@ class TfidfFeaturizer(Estimator, HasInputCol, HasOutputCol):
         ep = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf_raw")
         nm = Normalizer(p=2.0, inputCol="_tfidf_raw", outputCol="_tfidf")
         va_num = VectorAssembler(inputCols=NUMERIC, outputCol="_num")
-        sc = [StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_num_scaled")]
         if scaler == "minmax":
-            sc = [_minmax_stage(sqlt.transform(df)), VectorAssembler(inputCols=[f"_mm_{c}" for c in NUMERIC], outputCol="_num_scaled")]
+            sc = [_minmax_stage(ready), VectorAssembler(inputCols=[f"_mm_{c}" for c in NUMERIC], outputCol="_num_scaled")]
+        else:  # learned from the three counts alone, before any vector is built
+            sc = [StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_num_scaled").fit(va_num.transform(ready.select(NUMERIC)))]
         va = VectorAssembler(inputCols=["_tfidf", "_num_scaled"], outputCol=out)
         own = ["_toks", "_words", "terms", "_tf", "_tfidf_raw", "_tfidf", "_num", "_num_scaled"]
         own += [f"_mm_{c}" for c in NUMERIC] if scaler == "minmax" else []
         drop = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(own)}) FROM __THIS__")
-        return Pipeline(stages=[sqlt, cv, ep, nm, va_num, *sc, va, drop]).fit(df)
+        return PipelineModel(stages=[*first, cv, ep, nm, va_num, *sc, va, drop])
+
+
+def with_terms(df: DataFrame, ngram_max: int, text: str = "text") -> DataFrame:
+    """``df`` with the terms and counts that a featurizer reads, for several
+    featurizers over the same rows."""
+    return SQLTransformer(statement=terms_sql(text, (1, ngram_max))).transform(df)
 
 
 def _vectorizer(spark, terms: list[str]) -> CountVectorizerModel:
@@ -115,32 +126,35 @@ def _minmax_stage(df: DataFrame) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
-def classifier(kind: str | Estimator, n_train: int, C: float = 1.0, alpha: float = 1e-4, nb_alpha: float = 1.0,
-               weight_col: str | None = None):
-    """sklearn-style hyper-parameters mapped onto Spark ML:
-    LR / SVC regParam = 1 / (C * n); SGD hinge regParam = alpha; the
-    solvers' default tolerance there (1e-4) is kept.  Any other estimator over
-    ``features`` and ``label`` is taken as it is."""
+def classifier(kind: str | Estimator, C: float | None = None, alpha: float = 1e-4, nb_alpha: float = 1.0, balanced: bool = False):
+    """The reference's classifiers and their untuned parameters: logistic loss
+    (C 1) and squared hinge (C 0.1) by Newton steps, hinge by stochastic
+    epochs, multinomial naive Bayes.  Any other estimator over ``features``
+    and ``label`` is taken as it is."""
     if isinstance(kind, Estimator):
         return kind
-    common = dict(featuresCol="features", labelCol="label")
-    if weight_col:
-        common["weightCol"] = weight_col
     if kind == "logistic_regression":
-        return LogisticRegression(regParam=1.0 / (C * max(n_train, 1)), elasticNetParam=0.0, standardization=False,
-                                  maxIter=100, tol=1e-4, **common)
+        return LN.Newton("logistic", 1.0 if C is None else C, balanced)
     if kind == "linear_svc":
-        return LinearSVC(regParam=1.0 / (C * max(n_train, 1)), standardization=False, maxIter=100, tol=1e-4, **common)
+        return LN.Newton("squared_hinge", 0.1 if C is None else C, balanced)
     if kind == "sgd_hinge":
-        return LinearSVC(regParam=alpha, standardization=False, maxIter=100, tol=1e-4, **common)
+        return LN.Stochastic(alpha, balanced)
     if kind == "naive_bayes":
-        return NaiveBayes(smoothing=nb_alpha, modelType="multinomial", **common)
+        return NaiveBayes(smoothing=nb_alpha, modelType="multinomial", featuresCol="features", labelCol="label")
     raise ValueError(kind)
 
 
-def featurizer(kind: str | Estimator, max_features: int = MAX_FEATURES, ngram_max: int = 2) -> TfidfFeaturizer:
+def fit_classifiers(cells: list, x: DataFrame) -> list:
+    """Models of ``classifier`` results from the same vectors; the linear ones
+    advance together, one Spark job for each step of all of them."""
+    linear = [c for c in cells if isinstance(c, (LN.Newton, LN.Stochastic))]
+    found = iter(LN.fit_cells(x, linear) if linear else ())
+    return [next(found) if isinstance(c, (LN.Newton, LN.Stochastic)) else c.fit(x) for c in cells]
+
+
+def featurizer(kind: str | Estimator, max_features: int = MAX_FEATURES, ngram_max: int = 2, prepared: bool = False) -> TfidfFeaturizer:
     return TfidfFeaturizer(inputCol="text", maxFeatures=max_features, ngramMax=ngram_max,
-                           scaler="minmax" if kind == "naive_bayes" else "standard")
+                           scaler="minmax" if kind == "naive_bayes" else "standard", prepared=prepared)
 
 
 def balance(df: DataFrame, label: str = "label", out: str = "balance") -> DataFrame:
@@ -154,10 +168,11 @@ def balance(df: DataFrame, label: str = "label", out: str = "balance") -> DataFr
 
 
 def training_features(feat: PipelineModel, train: DataFrame, balanced: bool) -> DataFrame:
-    """Feature vectors in one task for each slot of the session; the shuffle
+    """Feature vectors in partitions of the session's advisory size: few for a
+    small table, where a round of a solver is all task overhead; the shuffle
     moves only the vectors."""
     x = feat.transform(train).select("features", "label")
-    return (balance(x) if balanced else x).repartition(train.sparkSession.sparkContext.defaultParallelism)
+    return (balance(x) if balanced else x).hint("rebalance")
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -176,15 +191,14 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
               .drop("features", "rawPrediction", "probability", "prediction")
 
 
-def fit_model(kind: str | Estimator, train: DataFrame, n_train: int | None = None, max_features: int = MAX_FEATURES,
-              ngram_max: int = 2, balanced: bool = False, **kw) -> PipelineModel:
+def fit_model(kind: str | Estimator, train: DataFrame, max_features: int = MAX_FEATURES, ngram_max: int = 2,
+              balanced: bool = False, **kw) -> PipelineModel:
     """Featurizer fit -> features over all slots -> classifier fit;
     returns one ``PipelineModel`` (featurizer stages + classifier)."""
-    n = train.count() if n_train is None else n_train
     feat = featurizer(kind, max_features, ngram_max).fit(train)
     x = training_features(feat, train, balanced).cache()
     try:
-        clf = classifier(kind, n, weight_col="balance" if balanced else None, **kw).fit(x)
+        clf = fit_classifiers([classifier(kind, balanced=balanced, **kw)], x)[0]
     finally:
         x.unpersist()
     return PipelineModel(stages=[feat, clf])
@@ -212,32 +226,26 @@ def _in_parallel(work: Callable, jobs: Iterable) -> list:
         return list(pool.map(work, jobs))
 
 
-def evaluate_cells(cells: list[tuple], train: DataFrame, held: DataFrame, train_score: bool = False) -> list[tuple]:
+def evaluate_cells(cells: list[tuple], train: DataFrame, held: DataFrame, train_score: bool = False, prepared: bool = False) -> list[tuple]:
     """(train accuracy or None, held-out accuracy) of every (kind, parameters)
     cell.  The featurizer is fitted on ``train`` once for each scaler and
     vocabulary setting, and its vectors serve all cells that share it.
     Without two classes to learn from, a cell has no accuracy."""
-    n, classes = train.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
-    if classes < 2:
+    if train.agg(F.count_distinct("label")).first()[0] < 2:
         return [(None, None)] * len(cells)
     groups: dict[tuple, list[int]] = {}
     for i, (kind, params) in enumerate(cells):
         groups.setdefault((kind == "naive_bayes", params.get("max_features", MAX_FEATURES), params.get("ngram_max", 2)), []).append(i)
     out: list[tuple] = [(None, None)] * len(cells)
     for (_, size, ngram), members in groups.items():
-        feat = featurizer(cells[members[0]][0], size, ngram).fit(train)
+        feat = featurizer(cells[members[0]][0], size, ngram, prepared).fit(train)
         x, y = training_features(feat, train, True).cache(), feat.transform(held).select("features", "label").cache()
 
-        def one(i: int) -> tuple:
-            kind, params = cells[i]
-            rest = {k: v for k, v in params.items() if k not in ("max_features", "ngram_max", "balanced")}
-            clf = classifier(kind, n, weight_col="balance" if params.get("balanced") else None, **rest).fit(x)
-            return _accuracy(clf, x) if train_score else None, _accuracy(clf, y)
-
         try:
             x.count(), y.count()
-            for i in members:
-                out[i] = one(i)
+            made = [classifier(cells[i][0], **{k: v for k, v in cells[i][1].items() if k not in ("max_features", "ngram_max")}) for i in members]
+            for i, clf in zip(members, fit_classifiers(made, x)):
+                out[i] = _accuracy(clf, x) if train_score else None, _accuracy(clf, y)
         finally:
             x.unpersist(), y.unpersist()
     return out
@@ -261,8 +269,17 @@ def cross_validate_cells(cells: list[tuple], df: DataFrame, fold_col: str = "fol
     (kind, parameters) cells; the whole model, featurizer included, learns
     from k-1 folds and is scored on the held-out one (no vocabulary leakage).
     Returns (mean accuracy, population std) per cell."""
-    per_fold = _in_parallel(lambda fold: evaluate_cells(cells, *fold), _folds(df, fold_col))
-    return [_mean_std([f[i][1] for f in per_fold]) for i in range(len(cells))]
+    out: list[tuple] = [(None, None)] * len(cells)
+    for n in sorted({p.get("ngram_max", 2) for _, p in cells}):
+        members = [i for i, (_, p) in enumerate(cells) if p.get("ngram_max", 2) == n]
+        some, ready = [cells[i] for i in members], with_terms(df, n).cache()  # tokenised once for all folds and cells
+        try:
+            per_fold = _in_parallel(lambda fold: evaluate_cells(some, *fold, prepared=True), _folds(ready, fold_col))
+        finally:
+            ready.unpersist()
+        for j, i in enumerate(members):
+            out[i] = _mean_std([f[j][1] for f in per_fold])
+    return out
 
 
 def cross_validate(kind: str | Estimator, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None, **kw):
@@ -284,11 +301,28 @@ def default_grid(kind: str) -> list[dict]:
     return [dict(zip(axes, v)) for v in itertools.product(*axes.values())]
 
 
+def best_cell(cells: list[tuple]) -> tuple:
+    """The (params, mean accuracy, std) of the highest mean; ties go to the
+    first cell of the grid."""
+    return max(cells, key=lambda c: -1.0 if c[1] is None else c[1])
+
+
+def search(kinds: Iterable[str], df: DataFrame, fold_col: str = "fold", grids: dict[str, list[dict]] | None = None) -> dict[str, list[tuple]]:
+    """kind -> [(params, mean CV accuracy, std)] of every cell of its grid.
+    The cells of all models go over the folds together, so models that read
+    the same features share them."""
+    cells = [(k, p) for k in kinds for p in ((grids or {}).get(k) or default_grid(k))]
+    out: dict[str, list[tuple]] = {}
+    for (kind, params), got in zip(cells, cross_validate_cells(cells, df, fold_col)):
+        out.setdefault(kind, []).append((params, *got))
+    return out
+
+
 def grid_search(kind: str, df: DataFrame, fold_col: str = "fold", grid: list[dict] | None = None):
     """(model refit on all rows with the best cell, its parameters, its mean
-    CV accuracy, all cells); ties go to the first cell of the grid."""
-    cells = cross_validate(kind, df, fold_col, grid or default_grid(kind))
-    params, mean, _ = max(cells, key=lambda c: -1.0 if c[1] is None else c[1])
+    CV accuracy, all cells)."""
+    cells = search([kind], df, fold_col, {kind: grid})[kind]
+    params, mean, _ = best_cell(cells)
     return fit_model(kind, df, **params), params, mean, cells
 
 
@@ -320,12 +354,13 @@ def tune_all(train: DataFrame, test: DataFrame, kinds: Iterable[str] = KINDS, fo
     """Every model tuned by its grid on ``train`` and evaluated on ``test``:
     model_name, model, best_params, cv_score, the weighted test metrics and
     is_best (highest test accuracy, ties to the first)."""
-    out = []
-    for kind in kinds:
-        model, params, mean, _ = grid_search(kind, train, fold_col, (grids or {}).get(kind))
-        scored = score(model, test).withColumnRenamed("label", "true_label")
-        wm = MT.weighted_metrics(MT.confusion_matrix(scored, "true_label", "pred_label")).first().asDict()
-        out.append({"model_name": kind, "model": model, "best_params": params, "cv_score": mean, **wm})
+    def finished(job: tuple) -> dict:
+        kind, cells = job
+        params, mean, std = best_cell(cells)
+        model, wm, _ = train_and_evaluate(kind, train, test, **params)
+        return {"model_name": kind, "model": model, "best_params": params, "cv_score": mean, "cv_std": std, **wm}
+
+    out = _in_parallel(finished, search(kinds, train, fold_col, grids).items())
     best = max(range(len(out)), key=lambda i: out[i]["accuracy"] or 0.0)
     return [{**r, "is_best": i == best} for i, r in enumerate(out)]
 
