@@ -100,13 +100,13 @@ def test_within_class_probabilities_sum_to_one(spark):
     frequent, c = L.frequent_words(counts)
     m = L.train(L.encode(df, frequent), c, *counts.selectExpr("sum(c)", "count(*)").first())
     n = len(frequent)
-    assert n == 301 and (np.diff(m.starts)[:n] > 1).any() and np.any(m.deep)
+    assert n == 301 and np.diff(m.starts).max() == L.LEARNED and np.any(m.deep) and m.below[:n].min() < -1
     total = 0.0
     for k in [*range(n), n]:  # every word, and the tail, after the same two words
         ids, length = np.array([5, 9, k], np.uint32), np.array([3])
         logs = L.class_logs(m, m.weights, L.features(ids, length, n + 1, m.bits), m.classes[ids])
         at, side, lean, size = L.decisions(m, ids, L.contexts(ids, length, n + 1))
-        total += math.exp(logs[2] + L.side_logs(m.deep, at, side, lean)[size[:2].sum():].sum())
+        total += math.exp(logs[2] + L.side_logs(m.deep, at, side, lean)[size[:2].sum():].sum() + m.below[k])
     assert math.isclose(total, 1, rel_tol=1e-4)
 
 
@@ -118,3 +118,34 @@ def test_rare_words_keep_their_identity_in_the_history(spark):
     df = spark.createDataFrame([(0, b"a b c b")], "id long, body binary")
     ids = np.frombuffer(L.encode(df, [b"a"]).first()["ids"], np.uint32)
     assert ids[0] == 0 and ids[1] == ids[3] != ids[2] and ids[1:].min() > 2
+
+
+def test_scores_equal_a_plain_sum(spark, monkeypatch):
+    """The score of texts from the same model, a token and a fork at a time."""
+    monkeypatch.setattr(L, "RUN", 64)  # texts longer than a run
+    kept = []
+    train = L.train
+    monkeypatch.setattr(L, "train", lambda *a: kept.append(train(*a)) or kept[0])
+    monkeypatch.setattr(L, "FREQUENT", 60)
+    r = rng(11)
+    texts = [sentence(r, r.randint(0, 200), [f"w{int(r.random() ** 2 * 90)}" for _ in range(50)]) for _ in range(60)]
+    got = {x["doc_id"]: x["score"] for x in L.score_table(frame(spark, texts)).collect()}
+    m = kept[0]
+    count = Counter(w for k, t in enumerate(texts) if crc(k, 10) for w in tokens(t))
+    frequent = sorted((w for w in count), key=lambda w: (-count[w], w))[:len(m.counts)]
+    ids, tail = {w: k for k, w in enumerate(frequent)}, len(frequent)
+    z = m.tail_total + 0.1 * (m.tail_distinct + 1)
+    for k, t in enumerate(texts):
+        line, total = [tail + 1] * 3, 0.0
+        for w in tokens(t):
+            one = np.array([ids.get(w, tail + 2 + L.zlib.crc32(w) % (2**32 - tail - 2))], np.uint32)
+            line.append(int(one[0]))
+            h = L.contexts(np.array(line[-4:], np.uint32), np.array([4]), tail + 1)[:, 3:]
+            y = m.bias + sum(m.weights[int(a)] for a in L.place(h, np.uint32(0), m.bits)[:, 0])
+            at = min(int(one[0]), tail)
+            total += float(y[m.classes[at]] - np.log(np.exp(y - y.max()).sum()) - y.max())
+            for f in range(m.starts[at], m.starts[at + 1]):
+                x = m.lean[m.forks[f]] + sum(m.deep[int(a)] for a in L.place(h, m.forks[f], m.bits + L.DEEP)[:, 0])
+                total -= math.log1p(math.exp(float(x if m.sides[f] == 0 else -x)))
+            total += m.below[at] if at < tail else math.log((count[w] + 0.1) / z)
+        assert math.isclose(got[k], total / math.log(10), rel_tol=1e-4, abs_tol=1e-4)

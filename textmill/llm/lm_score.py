@@ -2,12 +2,13 @@
 features and a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history).  The first
-factor is a softmax over a few classes; the second is a product of two-way
-softmaxes (forks) down a tree of the class's words, so their number follows
-the vocabulary.  Every logit is a bias from the counts plus hashed weights for
-the word before, the pair before, and the words two and three places before,
-at a fork hashed together with it.  Any word counts in the history, by its
-hash where it is not frequent.
+factor is a softmax over a few classes; the second is hierarchical: two-way
+softmaxes (forks) down a tree of the class's words.  The logits of the classes
+and of a word's first LEARNED forks are a bias from the counts plus hashed
+weights for the word before, the pair before, and the words two and three
+places before, at a fork hashed together with it; below, forks keep the shares
+of the counts.  Any word counts in the history, by its hash where it is not
+frequent.
 Classes are clusters of frequent words that keep the same company (profiles of
 the documents they occur in); all other words, and one unseen word, share a
 tail class, within which a word has its smoothed share whatever the history.
@@ -15,9 +16,10 @@ tail class, within which a word has its smoothed share whatever the history.
 Everything is gathered from all training documents: word counts, the classes'
 profiles, and the weights, for which every training document is visited once.
 Texts are encoded once, and training and scoring read the ids.
-Training goes in rounds over disjoint parts of the documents: tasks start from
+Training goes in rounds over disjoint parts of the documents: a few tasks (the
+session's slots, or one for each TASK_TOKENS where that is more) start from
 the broadcast weights, make gradient steps on their rows, and their changes
-are averaged row by row.  The number of weights follows the training tokens up
+are averaged row by row, so what is sent follows the tasks, not the splits.  The number of weights follows the training tokens up
 to 2^MOST_BITS rows and 2^DEEP times as many weights of forks; what is broadcast is bounded by that and FREQUENT;
 counts of words outside the frequent ones meet the texts in a join.
 """
@@ -43,11 +45,15 @@ FREQUENT = 1 << 17   # words with an id of their own, at most
 BITS = 15            # of hashed feature rows, at least
 ROWS = 1 << BITS
 MOST_BITS = 17       # at most
-DEEP = 5             # bits more for the weights of forks
+DEEP = 4             # bits more for the weights of forks
+LEARNED = 3          # forks of a word that see its history
+TASK_TOKENS = 1 << 24
+RUN = 1 << 17        # tokens whose contexts are alive at once
 CLASSES = 16         # class 0 is the tail
 ROUNDS = 2
 STEP = 0.3           # of the gradient updates (AdaGrad)
-BATCH = 8192         # tokens or forks of one update
+BATCH = 8192         # tokens of one update
+FORKS = 1 << 14      # forks of one update
 BLOCK = 4096         # weights averaged together
 PROFILE = 8          # numbers of a word's profile
 SMOOTH = 0.1
@@ -85,7 +91,7 @@ class Model:
     total: int               # N
     distinct: int            # V
     classes: np.ndarray      # class of every id, and of the tail id
-    within: np.ndarray       # ln P(word | class) of every id; 0 for the tail
+    within: np.ndarray       # ln P(word | class) of every id by the counts; 0 for the tail
     tail_total: int
     tail_distinct: int
     bias: np.ndarray         # by class
@@ -94,6 +100,7 @@ class Model:
     forks: np.ndarray | None = None
     sides: np.ndarray | None = None   # which way, 0 or 1
     lean: np.ndarray | None = None    # bias of every fork
+    below: np.ndarray | None = None   # ln of the shares of every id's other forks
     deep: np.ndarray | None = None    # weights of the forks
 
     @property
@@ -104,16 +111,23 @@ class Model:
         return np.log10((c + SMOOTH) / (self.total + SMOOTH * (self.distinct + 1)))
 
 
-def contexts(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
-    """Hashes (4 x tokens) of what stands before the tokens of consecutive
-    documents; before a document stand three start tokens."""
+def context_runs(ids: np.ndarray, lengths: np.ndarray, start: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first, end, hashes 4 x tokens) of what stands before the tokens of
+    consecutive documents, RUN tokens at a time whatever their length; before
+    a document stand three start tokens."""
     n, pad = len(ids), 3
-    at = np.arange(n) + pad * (np.repeat(np.arange(len(lengths)), lengths) + 1)
+    shift = np.repeat(np.arange(1, len(lengths) + 1, dtype=np.int32) * pad, lengths)
     line = np.full(n + pad * len(lengths), start, np.uint32)
-    line[at] = ids
-    one, two, three = line[at - 1], line[at - 2], line[at - 3]
+    line[np.arange(n) + shift] = ids
     a, b, c, d = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F))
-    return np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)))
+    for s in range(0, n, RUN):
+        at = np.arange(s, min(s + RUN, n)) + shift[s:s + RUN]
+        one, two, three = line[at - 1], line[at - 2], line[at - 3]
+        yield s, min(s + RUN, n), np.stack((one * a + np.uint32(1), (one * b) ^ (two * c), two * d + np.uint32(3), three * c + np.uint32(5)))
+
+
+def contexts(ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+    return np.concatenate([m for _, _, m in context_runs(ids, lengths, start)], axis=1)
 
 
 def place(mixed: np.ndarray, fork: np.ndarray | np.uint32, bits: int) -> np.ndarray:
@@ -274,9 +288,10 @@ def frequent_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
     return top["word"].tolist(), top["c"].to_numpy(np.int64)
 
 
-def _trees(classes: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, forks, sides, lean) of a Model: Huffman trees of the words of
-    every class, from the classes of the frequent words and their counts."""
+def _trees(classes: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, forks, sides, lean, below) of a Model: Huffman trees of the
+    words of every class, from the classes of the frequent words and their
+    counts; each word's LEARNED forks next to the root."""
     n = len(c)
     parent, side, lean = [0] * n, [0] * n, [0.0]  # fork 0 is none
     for k in range(1, CLASSES):
@@ -298,9 +313,14 @@ def _trees(classes: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         steps.append((word, up[at] - (n - 1), way[at]))
         at = up[at]
     owner, forks, sides = (np.concatenate(x) for x in zip(*steps)) if steps else (np.empty(0, np.int64),) * 3
-    order = np.argsort(owner, kind="stable")
-    starts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n + 1))))  # the tail has none
-    return starts, forks[order].astype(np.uint32), sides[order].astype(np.float32), np.array(lean, np.float32)
+    order = np.argsort(owner, kind="stable")  # of a word, from the bottom up
+    owner, forks, sides = owner[order], forks[order].astype(np.uint32), sides[order].astype(np.float32)
+    lean, depth = np.array(lean, np.float32), np.bincount(owner, minlength=n + 1)
+    top = np.arange(len(owner)) >= (np.cumsum(depth) - LEARNED)[owner]
+    log = -np.logaddexp(np.float32(0), lean[forks[~top]] * (1 - 2 * sides[~top]))
+    below = np.bincount(owner[~top], log, n + 1)
+    starts = np.concatenate(([0], np.cumsum(np.minimum(depth, LEARNED))))  # the tail has none
+    return starts, forks[top], sides[top], lean, below
 
 
 def row_bits(total: int) -> int:
@@ -323,8 +343,8 @@ def train(texts: DataFrame, c: np.ndarray, total: int, distinct: int) -> Model:
     within[:n] = np.log(c / mass[classes[:n]])
     with np.errstate(divide="ignore"):
         bias = np.maximum(np.log(mass / max(mass.sum(), SMOOTH)), -60.0).astype(np.float32)  # classes without words
-    starts, forks, sides, lean = _trees(classes, c)
-    model = replace(model, classes=classes, within=within, bias=bias, starts=starts, forks=forks, sides=sides, lean=lean,
+    starts, forks, sides, lean, below = _trees(classes, c)
+    model = replace(model, classes=classes, within=within, bias=bias, starts=starts, forks=forks, sides=sides, lean=lean, below=below,
                     deep=np.zeros(len(model.weights) << DEEP, np.float32))
     for k in range(ROUNDS if n else 0):
         part = texts.where(F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS)) == k)
@@ -351,37 +371,45 @@ def learn(model: Model, weights: np.ndarray, squares: np.ndarray, visits: np.nda
     visits[at] += np.diff(np.append(first, len(flat)))
 
 
-def learn_sides(deep: np.ndarray, squares: np.ndarray, total: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> None:
-    """One gradient step on some forks, in place; ``total`` is zero before and after."""
-    flat = at.ravel().astype(np.int64)
-    w = deep[flat]
+def learn_sides(deep: np.ndarray, squares: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> None:
+    """One gradient step on some forks, in place; the weights are visited in
+    the order of their places."""
+    flat = at.ravel()
+    key = flat.astype(np.uint64) << np.uint64(32) | np.arange(len(flat), dtype=np.uint64)
+    key.sort()
+    order, line = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(line), 1), bool), line[1:] != line[:-1])))
+    place_ = line[first]
+    mine, w = deep[place_], np.empty(len(flat), np.float32)
+    w[order] = np.repeat(mine, np.diff(np.append(first, len(line))))
     g = 1 / (1 + np.exp(-(w.reshape(at.shape).sum(axis=0) + lean))) - side
-    np.add.at(total, flat, np.tile(g, len(at)))
-    g = total[flat]
-    total[flat] = 0
-    s = squares[flat] + g * g  # a place that occurs twice is written twice alike
-    squares[flat] = s
-    deep[flat] = w - STEP * g / np.sqrt(s + 1)
+    total = np.add.reduceat(g[order % len(side)], first)
+    s = squares[place_] + total * total
+    squares[place_] = s
+    deep[place_] = mine - STEP * total / np.sqrt(s + 1)
 
 
 def _round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    shared, tail = texts.sparkSession.sparkContext.broadcast(model), len(model.counts)
+    context = texts.sparkSession.sparkContext
+    shared, tail = context.broadcast(model), len(model.counts)
+    texts = texts.select("ids").coalesce(max(context.defaultParallelism, model.total // TASK_TOKENS))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         w, deep = m.weights.copy(), m.deep.copy()
         squares, visits = np.full_like(w, 1.0), np.zeros(len(w))
-        deep_squares, total = np.zeros_like(deep), np.zeros_like(deep)
+        deep_squares = np.zeros_like(deep)
         for b in batches:
             for run in _slices(b.column(0)):
                 flat, lengths = _tokens(run)
-                mixed, target = contexts(flat, lengths, tail + 1), m.classes[np.minimum(flat, np.uint32(tail))]
-                rows = place(mixed, np.uint32(0), m.bits)
-                for s in range(0, len(flat), BATCH):
-                    learn(m, w, squares, visits, rows[:, s:s + BATCH], target[s:s + BATCH])
-                at, side, lean, _ = decisions(m, flat, mixed)
-                for s in range(0, len(side), BATCH):
-                    learn_sides(deep, deep_squares, total, at[:, s:s + BATCH], side[s:s + BATCH], lean[s:s + BATCH])
+                for first, end, mixed in context_runs(flat, lengths, tail + 1):
+                    part = flat[first:end]
+                    target, rows = m.classes[np.minimum(part, np.uint32(tail))], place(mixed, np.uint32(0), m.bits)
+                    for s in range(0, len(part), BATCH):
+                        learn(m, w, squares, visits, rows[:, s:s + BATCH], target[s:s + BATCH])
+                    at, side, lean, _ = decisions(m, part, mixed)
+                    for s in range(0, len(side), FORKS):
+                        learn_sides(deep, deep_squares, at[:, s:s + FORKS], side[s:s + FORKS], lean[s:s + FORKS])
         n = np.concatenate((np.repeat(visits, CLASSES), deep_squares)).astype(np.float32).reshape(-1, BLOCK)
         moved = np.concatenate(((w - m.weights).ravel(), deep - m.deep)).reshape(-1, BLOCK) * n
         for at in np.array_split(np.flatnonzero(n.any(axis=1)), 16):
@@ -398,7 +426,7 @@ def _round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
         change = np.divide(moved, n, out=np.zeros(BLOCK), where=n > 0).astype(np.float32)
         yield pa.RecordBatch.from_pydict({"block": b.column("block")[:1], "moved": pa.array([change.tobytes()], pa.binary())})
 
-    got = (texts.select("ids").mapInArrow(local, "block int, n binary, moved binary").groupBy("block")
+    got = (texts.mapInArrow(local, "block int, n binary, moved binary").groupBy("block")
            .applyInArrow(mean, "block int, moved binary").toArrow())  # at most the weights
     change = np.zeros(((model.weights.size + model.deep.size) // BLOCK, BLOCK), np.float32)
     for k, x in zip(got["block"].to_pylist(), got["moved"].to_pylist()):
@@ -421,17 +449,16 @@ def _partial(shared) -> Column:
             sums = defaultdict(list)
             for part in _slices(batch):
                 flat, lengths = _tokens(part)
-                mixed, target = contexts(flat, lengths, tail + 1), m.classes[np.minimum(flat, np.uint32(tail))]
-                rows = place(mixed, np.uint32(0), m.bits)
                 logs = np.empty(len(flat))
-                for s in range(0, len(flat), BATCH):
-                    logs[s:s + BATCH] = class_logs(m, m.weights, rows[:, s:s + BATCH], target[s:s + BATCH])
-                places, side, lean, size = decisions(m, flat, mixed)
-                ways = np.empty(len(side) + 1)
-                for s in range(0, len(side), BATCH):
-                    ways[s:min(s + BATCH, len(side))] = side_logs(m.deep, places[:, s:s + BATCH], side[s:s + BATCH], lean[s:s + BATCH])
-                ways[-1] = 0
-                logs += np.where(size > 0, np.add.reduceat(ways, np.cumsum(size) - size), 0.0)
+                for first, end, mixed in context_runs(flat, lengths, tail + 1):
+                    some = flat[first:end]
+                    known = np.minimum(some, np.uint32(tail))
+                    target, rows = m.classes[known], place(mixed, np.uint32(0), m.bits)
+                    for s in range(0, len(some), BATCH):
+                        logs[first + s:first + min(s + BATCH, len(some))] = class_logs(m, m.weights, rows[:, s:s + BATCH], target[s:s + BATCH])
+                    places, side, lean, size = decisions(m, some, mixed)
+                    ways = np.append(side_logs(m.deep, places, side, lean), np.float32(0))
+                    logs[first:end] += m.below[known] + np.where(size > 0, np.add.reduceat(ways, np.cumsum(size) - size), 0.0)
                 at = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 sums["score"].append(np.add.reduceat(logs, at) / math.log(10))
                 flat = np.minimum(flat, np.uint32(tail))
