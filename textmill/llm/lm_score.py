@@ -156,15 +156,18 @@ def decisions(model: Model, flat: np.ndarray, mixed: np.ndarray) -> tuple[np.nda
 
 def side_logs(deep: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> np.ndarray:
     """ln P(side | features) of every fork."""
-    y = (deep[at].sum(axis=0) + lean) * (1 - 2 * side)
+    y = deep.take(at[0])
+    for a in at[1:]:
+        y += deep.take(a)
+    y = (y + lean) * (1 - 2 * side)
     return -np.logaddexp(np.float32(0), y)
 
 
 def logits(model: Model, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Logits of the classes, the largest of each token zero (tokens x classes)."""
-    y = weights[rows[0]]
+    y = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        y += weights[r]
+        y += weights.take(r, axis=0)
     y += model.bias
     y -= y.max(axis=1, keepdims=True)
     return y
@@ -365,10 +368,20 @@ def learn(model: Model, weights: np.ndarray, squares: np.ndarray, visits: np.nda
     order, line = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), key >> np.uint64(32)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     at = line[first].astype(np.int64)
-    total = np.add.reduceat(g[order % rows.shape[1]], first, axis=0)
-    squares[at] += total * total
-    weights[at] -= STEP * total / np.sqrt(squares[at] + 1e-6)
-    visits[at] += np.diff(np.append(first, len(flat)))
+    order %= rows.shape[1]
+    times = np.diff(np.append(first, len(flat)))
+    total = g.take(order[first], axis=0)
+    more = np.flatnonzero(times > 1)  # most rows occur once in a batch
+    inside = np.repeat(times > 1, times)
+    total[more] = np.add.reduceat(g.take(order[inside], axis=0), np.cumsum(times[more]) - times[more], axis=0) if len(more) else total[more]
+    s = squares.take(at, axis=0)
+    s += total * total
+    squares[at] = s
+    np.sqrt(s, out=s)
+    np.divide(total, s, out=total)
+    total *= STEP
+    weights[at] = weights.take(at, axis=0) - total
+    visits[at] += times
 
 
 def learn_sides(deep: np.ndarray, squares: np.ndarray, at: np.ndarray, side: np.ndarray, lean: np.ndarray) -> None:
@@ -380,11 +393,11 @@ def learn_sides(deep: np.ndarray, squares: np.ndarray, at: np.ndarray, side: np.
     order, line = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.concatenate((np.ones(min(len(line), 1), bool), line[1:] != line[:-1])))
     place_ = line[first]
-    mine, w = deep[place_], np.empty(len(flat), np.float32)
+    mine, w = deep.take(place_), np.empty(len(flat), np.float32)
     w[order] = np.repeat(mine, np.diff(np.append(first, len(line))))
     g = 1 / (1 + np.exp(-(w.reshape(at.shape).sum(axis=0) + lean))) - side
-    total = np.add.reduceat(g[order % len(side)], first)
-    s = squares[place_] + total * total
+    total = np.add.reduceat(g.take(order % len(side)), first)
+    s = squares.take(place_) + total * total
     squares[place_] = s
     deep[place_] = mine - STEP * total / np.sqrt(s + 1)
 
