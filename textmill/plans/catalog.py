@@ -27,6 +27,8 @@ from ..operators import sampling as SM
 from ..operators import tfidf as TF
 from ..operators.models import MAX_FEATURES
 from ..functions.barrier import materialize
+from ..session import scratch_path
+from ..sources import files as SF
 from . import sqltext as S
 from .tables import labelled, master, predictions, table
 
@@ -103,6 +105,28 @@ def q_drop_unlabelled(spark, d):
     return QL.drop_unlabelled(master(spark, d))
 
 
+@register("load_labelled", f"WITH {S.LABELLED_CTE} SELECT record_id, text, label, source_file FROM labelled")
+def q_load_labelled(spark, d):
+    """The master written as a split, loaded again with its required columns."""
+    path = scratch_path(spark, "labelled-split")
+    master(spark, d).write.parquet(path)
+    return SF.load_labelled(spark, path).select("record_id", "text", "label", "source_file")
+
+
+@register("provenance", """
+WITH f AS (SELECT doc_id, lang, source || ',part.csv' AS name, doc_id % 3 = 0 AS top FROM documents)
+SELECT doc_id, replace(name, ',', ';') AS source_file, CASE WHEN top THEN 'corpus' ELSE lang END AS source_name,
+  doc_id - min(doc_id) OVER (PARTITION BY top, CASE WHEN NOT top THEN lang END, name) AS record_id FROM f""")
+def q_provenance(spark, d):
+    """Rows of files below /data/corpus, a third of them at the top and the
+    others in a folder for each language."""
+    name = F.concat("source", F.lit(",part.csv"))
+    folder = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat("lang", F.lit("/")))
+    rows = table(spark, d, "documents").select("doc_id", F.concat(F.lit("file:///data/corpus/"), folder, name).alias("_file_path"),
+                                               name.alias("_file_name"), F.col("doc_id").alias("_mid"))
+    return SF.with_provenance(rows, "/data/corpus").select("doc_id", "source_file", "source_name", "record_id")
+
+
 # ---------------------------------------------------------------------------
 # Cleaners and scalar text functions
 # ---------------------------------------------------------------------------

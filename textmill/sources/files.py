@@ -107,7 +107,7 @@ def with_provenance(df: DataFrame, root: str) -> DataFrame:
     rel = F.regexp_replace(F.regexp_replace(F.col("_file_path"), "^file:(//)?", ""), "^" + _re_escape(root_n) + "/?", "")
     first_dir = F.when(F.instr(rel, "/") > 0, F.substring_index(rel, "/", 1)).otherwise(F.lit(root_name))
     starts = df.groupBy("_file_path").agg(F.min("_mid").alias("_start"))
-    out = df.join(F.broadcast(starts), "_file_path")
+    out = df.join(starts, "_file_path")  # a row for every file: the planner knows its size
     return out.withColumn("source_file", F.replace(F.col("_file_name"), F.lit(","), F.lit(";"))) \
               .withColumn("source_name", first_dir) \
               .withColumn("record_id", F.col("_mid") - F.col("_start")) \
