@@ -1,5 +1,8 @@
 """Invariants of the deterministic split / sampling operators."""
 
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators import dedup as DD
@@ -73,3 +76,61 @@ def test_leakage(spark):
     df = spark.createDataFrame(rows, "text string, split string")
     got = {(r.split_a, r.split_b): r.n_shared for r in DD.split_leakage(df).collect()}
     assert got == {("train", "validation"): 0, ("train", "test"): 1, ("validation", "test"): 1}
+
+
+@pytest.mark.parametrize("label", [lambda i: 0, lambda i: None if i % 5 == 0 else i % 3])
+@pytest.mark.parametrize("n", [0, 997])
+def test_selections_equal_full_ranks(spark, n, label):
+    """Quotas by marks against ranks over whole labels in plain Python."""
+    rows = [(i, label(i), f"text {i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "record_id long, label int, text string")
+    by = {}
+    for i, lab, _ in sorted(rows, key=lambda r: hashlib.md5(f"42:{r[0]}".encode()).hexdigest()):
+        by.setdefault(lab, []).append(i)
+    by_all = sorted(range(n), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    quotas = {r.label: r for r in SM.split_quotas(SM.label_counts(df.na.drop(subset=["label"]), "label"), "label").collect()}
+    sdf = df.na.drop(subset=["label"])
+    got = {r.record_id: r.split for r in SM.stratified_split(sdf).collect()}
+    want = {i: "test" if k < quotas[lab].test_quota else "validation" if k < quotas[lab].hold_quota else "train"
+            for lab, ids in by.items() if lab is not None for k, i in enumerate(ids)}
+    assert got == want
+    subset = {r.record_id: r.subset for r in SM.learning_subsets(df).collect()}
+    bounds = [int(f * n) for f in (0.1, 0.325, 0.55, 0.775, 1.0)]
+    assert subset == {i: next(j for j, b in enumerate(bounds) if k < b) for k, i in enumerate(by_all)}
+    for size in (7, 2000):
+        ids = [r.record_id for r in SM.stratified_sample(sdf, size).collect()]
+        assert len(ids) == len(set(ids)) == min(size, len(want))
+        for lab, order in by.items():
+            mine = set(ids) & set(order)
+            assert mine == set(order[:len(mine)])
+    other = spark.createDataFrame([(-1, 1, "x")], "record_id long, label int, text string")
+    for target in (0, 6):
+        taken = {r.record_id for r in SM.sample_and_combine(df, other, "record_id", target).where("origin = 'd1'").collect()}
+        assert taken == set(by_all[:max(target - 1, 0)])
+
+
+def test_selection_moves_no_text(spark):
+    """No exchange carries the text, and none of its keys is one."""
+    df = _frame(spark, 100)
+    for out in (SM.stratified_split(df), SM.stratified_sample(df, 10), SM.learning_subsets(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" in plan
+        for part in plan.split("Window ")[1:]:
+            assert "text#" not in part.split("\n")[0]
+        physical = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in physical.split("\n")[1]
+    plan = DD.dedup_keep_first(df, order=("record_id",))._jdf.queryExecution().executedPlan().toString()
+    assert all("text" not in line for line in plan.split("\n") if "hashpartitioning" in line)
+
+
+def test_repeated_ids_stay_together(spark):
+    df = spark.createDataFrame([(i // 4, 0, str(i)) for i in range(400)], "record_id long, label int, text string")
+    s = SM.stratified_split(df).groupBy("record_id").agg(F.count_distinct("split").alias("n"), F.count("*").alias("m"))
+    assert {(r.n, r.m) for r in s.collect()} == {(1, 4)}
+
+
+def test_shared_texts(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,), ("",)], "text string")
+    b = spark.createDataFrame([("x",), ("",), (None,), (None,), ("z",)], "text string")
+    assert sorted(str(r.text) for r in DD.shared_texts(a, b).collect()) == ["", "None", "x"]
+    assert sorted(str(r.text) for r in DD.shared_texts(a, b.na.drop()).collect()) == ["", "x"]

@@ -17,15 +17,15 @@ def digest(key: str) -> Column:
 def dedup_keep_first(df: DataFrame, key: str = "text",
                      order: tuple[str, ...] = ("source_file", "record_id")) -> DataFrame:
     """``drop_duplicates(subset=[key], keep='first')`` with "first" made
-    explicit as the smallest ``order`` tuple.  One aggregate with map-side
-    combine: a text repeated a billion times is reduced per map task before
-    the shuffle, so hot duplicates cannot skew a reducer."""
-    others = [c for c in df.columns if c != key]
-    winner = F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.struct(*[F.col(c) for c in order]))
+    explicit as the smallest ``order`` tuple.  One aggregate by digest with
+    map-side combine: a text repeated a billion times is one row per map task
+    before the shuffle, so hot duplicates cannot skew a reducer, and texts are
+    neither hashed, sorted nor compared as keys, only carried.  Texts are taken
+    as equal if their SHA-256 is."""
+    winner = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[F.col(c) for c in order]))
     return (df.filter(F.col(key).isNotNull())
-              .groupBy(key).agg(winner.alias("_w"))
-              .select(key, *[F.col(f"_w.`{c}`").alias(c) for c in others])
-              .select(*df.columns))
+              .groupBy(digest(key).alias("_key")).agg(winner.alias("_w"))
+              .select(*[F.col(f"_w.`{c}`").alias(c) for c in df.columns]))
 
 
 def dedup_report(df: DataFrame, key: str = "text") -> DataFrame:
@@ -58,8 +58,13 @@ def leakage_removed(test: DataFrame, train: DataFrame, key: str = "text") -> Dat
 
 
 def shared_texts(a: DataFrame, b: DataFrame, key: str = "text") -> DataFrame:
-    """Distinct texts present in both inputs (set intersection)."""
-    return a.select(key).intersect(b.select(key))
+    """Distinct texts present in both inputs (set intersection; null is one
+    where both have it).  Digests are intersected first, so that only texts
+    found in both are grouped."""
+    common = a.select(digest(key).alias("_k")).intersect(b.select(digest(key).alias("_k")))
+    texts = a.select(F.col(key), digest(key).alias("_d"))
+    return texts.join(common, F.col("_d").eqNullSafe(F.col("_k")), "left_semi") \
+                .groupBy("_d").agg(F.first(key).alias(key)).select(key)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

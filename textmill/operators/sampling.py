@@ -2,8 +2,9 @@
 
 Order is defined by ``md5('<seed>:<id>')`` so Spark and an SQL engine agree
 row for row.  Quotas are computed with integer arithmetic on a tiny per-label
-count table (largest remainder, ties by label) and joined back; ranks come
-from :mod:`ranking` so no window ever spans a whole label.
+count table (largest remainder, ties by label); whether a row is within its
+quota is told by comparing its hash with the one at the quota's rank, and ranks
+come from :mod:`ranking`, so no window ever spans a whole label.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import CV_FOLDS, LEARNING_FRACTIONS, SEED, SPLIT_PERCENT, TARGET_DATASET_SIZE
-from .ranking import hash_order, hash_rank
+from .ranking import bucket_counts, hash_order, hash_rank, within_quotas
 
 def _largest_remainder(counts: DataFrame, label: str, n_col: str, total_col: str, out: str) -> DataFrame:
     """Split integer ``total_col`` over labels in proportion to ``n_col``:
@@ -32,6 +33,12 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))
 
 
+def _counted(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
+    """:func:`label_counts` summed from the counts per bucket, which the
+    selection asks for too: one pass for both."""
+    return bucket_counts(df, id_col, [label], seed).groupBy(label).agg(F.sum("_n").alias("n_label"))
+
+
 def split_quotas(counts: DataFrame, label: str, percents=SPLIT_PERCENT) -> DataFrame:
     """Per label: rows held out (validation+test) and rows for test."""
     _, p_val, p_test = percents
@@ -48,14 +55,13 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "record_
                      percents=SPLIT_PERCENT) -> DataFrame:
     """Stratified train / validation / test assignment (column ``split``).
 
-    Within each label rows are ranked by hash; the first ``test_quota`` go to
-    test, the next up to ``hold_quota`` to validation, the rest to train."""
-    quotas = split_quotas(label_counts(df, label), label, percents)
-    ranked = hash_rank(df, id_col, [label], seed, name="_r")
-    out = ranked.join(quotas, label, "inner")
-    split = (F.when(F.col("_r") <= F.col("test_quota"), "test")
-              .when(F.col("_r") <= F.col("hold_quota"), "validation").otherwise("train"))
-    return out.withColumn("split", split).select(*df.columns, "split")
+    Within each label, in hash order, the first ``test_quota`` rows go to
+    test, the next up to ``hold_quota`` to validation, the rest to train.  Rows
+    without a label go; rows of one id stay in one split."""
+    quotas = split_quotas(_counted(df, label, id_col, seed), label, percents)
+    out = within_quotas(df, id_col, quotas, ["test_quota", "hold_quota"], [label], seed)
+    split = F.when(F.col("test_quota_in"), "test").when(F.col("hold_quota_in"), "validation").otherwise("train")
+    return out.select(*df.columns, split.alias("split"))
 
 
 def stratified_folds(df: DataFrame, label: str = "label", id_col: str = "record_id", k: int = CV_FOLDS,
@@ -70,21 +76,21 @@ def learning_subsets(df: DataFrame, id_col: str = "record_id", fractions=LEARNIN
                      seed: int = SEED) -> DataFrame:
     """Index of the smallest nested training subset containing each row:
     subset ``i`` holds the first ``floor(fraction_i * n)`` rows in hash order."""
-    ranked = hash_rank(df, id_col, [], seed, name="_r", total_name="_n")
-    idx = None
-    for i in reversed(range(len(fractions))):
-        cond = F.col("_r") <= F.floor(F.lit(float(fractions[i])) * F.col("_n"))
-        idx = F.when(cond, F.lit(i)) if idx is None else F.when(cond, F.lit(i)).otherwise(idx)
-    return ranked.withColumn("subset", idx.cast("int")).select(*df.columns, "subset")
+    total = bucket_counts(df, id_col, [], seed).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
+    names = [f"_q{i}" for i in range(len(fractions))]
+    quotas = total.select(*[F.floor(F.lit(float(f)) * F.col("_n")).alias(q) for f, q in zip(fractions, names)])
+    out = within_quotas(df, id_col, quotas, names, [], seed)
+    subset = F.coalesce(*[F.when(F.col(f"{q}_in"), F.lit(i)) for i, q in enumerate(names)])
+    return out.select(*df.columns, subset.cast("int").alias("subset"))
 
 
 def stratified_sample(df: DataFrame, n: int, label: str = "label", id_col: str = "record_id",
                       seed: int = SEED) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, allocated to labels by largest remainder."""
-    counts = label_counts(df, label).withColumn("_total", F.least(F.lit(n), F.sum("n_label").over(Window.partitionBy())))
+    """Exactly ``min(n, rows)`` rows, allocated to labels by largest remainder
+    (more where the id at a quota's rank repeats: its rows stay together)."""
+    counts = _counted(df, label, id_col, seed).withColumn("_total", F.least(F.lit(n), F.sum("n_label").over(Window.partitionBy())))
     quotas = _largest_remainder(counts, label, "n_label", "_total", "quota").select(label, "quota")
-    ranked = hash_rank(df, id_col, [label], seed, name="_r")
-    return ranked.join(quotas, label).filter(F.col("_r") <= F.col("quota")).select(*df.columns)
+    return within_quotas(df, id_col, quotas, ["quota"], [label], seed).filter("quota_in").select(*df.columns)
 
 
 def sample_and_combine(d1: DataFrame, d2: DataFrame, id_col: str, target: int = TARGET_DATASET_SIZE,
@@ -93,9 +99,9 @@ def sample_and_combine(d1: DataFrame, d2: DataFrame, id_col: str, target: int =
     (none when ``|d2| >= target``); column ``origin`` says which input.
     ``|d2|`` is one scalar fetched to the driver."""
     n2 = d2.count()
-    take = max(target - n2, 0)
-    ranked = hash_rank(d1, id_col, [], seed, name="_r")
-    part1 = ranked.filter(F.col("_r") <= F.lit(take)).select(*d1.columns).withColumn("origin", F.lit("d1"))
+    quota = d1.sparkSession.range(1).select(F.lit(max(target - n2, 0)).alias("take"))
+    part1 = within_quotas(d1, id_col, quota, ["take"], [], seed).filter("take_in") \
+        .select(*d1.columns).withColumn("origin", F.lit("d1"))
     return part1.unionByName(d2.withColumn("origin", F.lit("d2")), allowMissingColumns=True)
 
 
@@ -130,16 +136,15 @@ def inspection_sample(df: DataFrame, label: str = "label", id_col: str = "record
     other (which fills up to the total)."""
     quotas = quotas or {0: 3, 1: 2}
     total = sum(quotas.values())
-    counts = label_counts(df, label)
+    counts = _counted(df, label, id_col, seed)
     want = F.create_map(*[x for k, v in sorted(quotas.items()) for x in (F.lit(k), F.lit(v))])
     c = counts.withColumn("_want", F.coalesce(want[F.col(label)], F.lit(0)))
     c = c.withColumn("_got", F.least(F.col("_want"), F.col("n_label")))
     c = c.withColumn("_short", F.sum(F.col("_want") - F.col("_got")).over(Window.partitionBy()))
     c = c.withColumn("quota", F.least(F.col("n_label"), F.col("_got") + F.col("_short")))
     c = c.withColumn("quota", F.when(F.sum("quota").over(Window.partitionBy()) > total, F.col("_got")).otherwise(F.col("quota")))
-    ranked = hash_rank(df, id_col, [label], seed, name="_r")
-    return ranked.join(c.select(label, "quota"), label).filter(F.col("_r") <= F.col("quota")) \
-                 .select(*df.columns)
+    return within_quotas(df, id_col, c.select(label, "quota"), ["quota"], [label], seed).filter("quota_in") \
+        .select(*df.columns)
 
 
 __all__ = ["stratified_split", "stratified_folds", "learning_subsets", "stratified_sample",
