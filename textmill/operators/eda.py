@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.constants import HIST_BINS, TOP_NGRAMS, TOP_SOURCES, TOP_WORDS, english_stop_words
+from .ranking import few_rows
 
 FEATURES = ["text_length", "word_count", "punct_count", "upper_count"]
 
@@ -53,14 +54,16 @@ def _long_features(df: DataFrame, features: list[str], label: str) -> DataFrame:
 def feature_histogram(df: DataFrame, features=FEATURES, label: str = "label", bins: int = HIST_BINS) -> DataFrame:
     """``bins`` equal-width bins per feature over the common [min, max] of
     all labels; counts per (feature, label, bin).  The max falls in the last
-    bin.  Bounds are a 1-row-per-feature table joined by feature name."""
-    long = _long_features(df, list(features), label)
-    bounds = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    bin.  Rows are counted per value first, so the input is read once; bounds
+    are a 1-row-per-feature table joined by feature name."""
+    long = _long_features(df, list(features), label).groupBy("feature", label, "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = F.when(F.col("n") > 0, F.col("value"))  # asks for n, so that bounds and bins share one exchange
+    bounds = long.groupBy("feature").agg(F.min(counted).alias("lo"), F.max(counted).alias("hi"))
     j = long.join(F.broadcast(bounds), "feature")
     width = F.col("hi") - F.col("lo")
     b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).otherwise(0)
     out = j.withColumn("bin", b.cast("int")).groupBy("feature", label, "bin", "lo", "hi") \
-           .agg(F.count(F.lit(1)).alias("n_rows"))
+           .agg(F.sum("n").alias("n_rows"))
     w = F.col("hi") - F.col("lo")
     return out.select("feature", label, "bin",
                       (F.col("lo") + F.col("bin") * w / bins).alias("bin_lo"),
@@ -135,7 +138,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def sample_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Per-row inverse class frequency ``1 / n_c`` (class table broadcast:
-    one row per class)."""
+    """Per-row inverse class frequency ``1 / n_c``; the class table is
+    broadcast where its counted rows are few."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))
-    return df.join(F.broadcast(c), label).withColumn("sample_weight", 1.0 / F.col("n_label")).drop("n_label")
+    return df.join(F.broadcast(c) if few_rows(df.select(label).distinct()) else c, label).withColumn("sample_weight", 1.0 / F.col("n_label")).drop("n_label")

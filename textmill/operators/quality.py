@@ -85,6 +85,29 @@ def stage_report(stages: list[tuple[str, DataFrame]]) -> DataFrame:
                  .withColumnRenamed("rows", "rows_after")
 
 
+def stage_report_once(df: DataFrame, stages: list[tuple[str, F.Column]], distinct: tuple[str, F.Column] | None = None,
+                      first: str = "master") -> DataFrame:
+    """:func:`stage_report` of a chain of filters, with the input read once:
+    a row is in a stage where its condition and those before it hold (null
+    counts as false), and ``distinct`` (name, key) ends the chain with the
+    number of keys left.  Costly values in the conditions are best
+    materialised first."""
+    names, counts, kept = [first], [F.count(F.lit(1))], F.lit(True)
+    for name, condition in stages:
+        kept = kept & F.coalesce(condition, F.lit(False))
+        names.append(name)
+        counts.append(F.count_if(kept))
+    if distinct:
+        names.append(distinct[0])
+        counts.append(F.count_distinct(F.when(kept, distinct[1])))
+    row = df.agg(*[c.alias(f"_n{i}") for i, c in enumerate(counts)])
+    before = [F.lit(None).cast("long"), *[F.col(f"_n{i}") for i in range(len(names) - 1)]]
+    steps = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(f"_n{i}").alias("rows_after"),
+                               before[i].alias("rows_before"), (before[i] - F.col(f"_n{i}")).alias("removed"))
+                      for i, name in enumerate(names)])
+    return row.select(F.inline(steps))
+
+
 def unmapped_labels(df: DataFrame, raw: str = "raw_label", mapped: str = "label") -> DataFrame:
     """Distinct raw label values that map to null, with counts (sorted)."""
     return df.filter(F.col(mapped).isNull() & F.col(raw).isNotNull()) \

@@ -410,10 +410,10 @@ SELECT step, stage, rows_after, lag(rows_after) OVER (ORDER BY step) AS rows_bef
        lag(rows_after) OVER (ORDER BY step) - rows_after AS removed FROM s""")
 def q_stage_report(spark, d):
     m = master(spark, d)
-    lab = QL.drop_unlabelled(m)
-    ml = QL.min_length(materialize(lab, "text", T.clean_base("text")))
-    return QL.stage_report([("master", m), ("labelled", lab), ("min_length", ml), ("dedup", DD.dedup_keep_first(ml))]) \
-        .select("step", "stage", "rows_after", "rows_before", "removed")
+    labelled_ = F.col("text").isNotNull() & F.col("label").isNotNull()
+    m = materialize(m.select(labelled_.alias("labelled"), F.when(labelled_, F.col("text")).alias("text")), "text", T.clean_base("text"))
+    return QL.stage_report_once(m, [("labelled", F.col("labelled")), ("min_length", F.length(F.trim("text")) >= 50)],
+                                ("dedup", DD.digest("text")))
 
 
 @register("error_analysis", f"""
@@ -1211,6 +1211,67 @@ def q_page_section(spark, d):
     return PG.page_section(table(spark, d, "pages"), keyword="the")
 
 
+_PIECES_SQL = r"""
+c0 AS (SELECT page_id, url, html, regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*(>.*?(</script\s*>|$)|$)', ' ', 'g'),
+  '(?is)<style\b[^>]*(>.*?(</style\s*>|$)|$)', ' ', 'g') AS v FROM pages),
+cut AS (SELECT page_id, url, html, string_split(regexp_replace(v, '(?s)<!--.*?(-->|$)', ' ', 'g'), '<') AS s FROM c0)"""
+
+
+def _elements_sql(name: str, tag: str) -> str:
+    """CTEs ending in ``name`` (page_id, element_no, depth, inner)."""
+    return rf"""
+{name}_p AS (SELECT page_id, unnest(s) AS piece, generate_subscripts(s, 1) - 1 AS opens FROM cut),
+{name}_t AS (SELECT page_id, opens, CASE WHEN regexp_matches(piece, '(?i)^({tag})([\s/>]|$)') THEN 1
+  WHEN regexp_matches(piece, '(?i)^/({tag})([\s>]|$)') THEN -1 END AS step FROM {name}_p),
+{name}_d AS (SELECT *, sum(step) OVER (PARTITION BY page_id ORDER BY opens) + CASE WHEN step < 0 THEN 1 ELSE 0 END AS depth
+  FROM {name}_t WHERE step IS NOT NULL),
+{name}_c AS (SELECT *, lead(opens) OVER (PARTITION BY page_id, depth ORDER BY opens) AS closes FROM {name}_d),
+{name} AS (SELECT e.page_id, CAST(row_number() OVER (PARTITION BY e.page_id ORDER BY opens) - 1 AS INTEGER) AS element_no,
+  CAST(depth AS INTEGER) AS depth, opens,
+  regexp_replace(array_to_string(s[opens + 1:coalesce(closes, len(s))], '<'), '^[^>]*>?', '') AS inner_html
+  FROM {name}_c e JOIN cut USING (page_id) WHERE step = 1)"""
+
+
+_BLOCKS = "article|div|footer|li|nav|ul"
+
+
+@register("page_elements", f"""WITH {_PIECES_SQL}, {_elements_sql('e', _BLOCKS)}
+SELECT page_id, element_no, depth, {_inner_sql('inner_html')} AS text FROM e""")
+def q_page_elements(spark, d):
+    return PG.page_elements(table(spark, d, "pages"), _BLOCKS)
+
+
+@register("page_items", f"""WITH {_PIECES_SQL}, {_elements_sql('e', 'li')},
+a AS (SELECT page_id, url, element_no, inner_html, regexp_extract(inner_html, '(?is)<a\\b[^>]*>.*?(</a\\s*>|$)') AS a
+  FROM e JOIN cut USING (page_id)),
+h AS (SELECT *, regexp_extract(a, '(?is)\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1) AS href FROM a WHERE a <> '')
+SELECT page_id, element_no AS item_no, {_inner_sql('a')} AS title,
+  CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) || ':' || href
+       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href
+       WHEN href = '' THEN url ELSE regexp_extract(url, '^([^?#]*/)', 1) || href END AS link,
+  coalesce(nullif({_inner_sql('inner_html')}, ''), {S.q(NO_DESCRIPTION)}) AS description
+FROM h""")
+def q_page_items(spark, d):
+    return PG.page_items(table(spark, d, "pages"), "li", None, None, ())
+
+
+_TITLE_SQL = _inner_sql(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)")
+
+
+@register("section_by_heading", f"""WITH {_PIECES_SQL}, {_elements_sql('h', 'h[1-6]')}, {_elements_sql('f', 'p|footer|div')},
+w AS (SELECT page_id, {_TITLE_SQL} AS want FROM cut),
+hd AS (SELECT h.page_id, min(opens) AS start FROM h JOIN w USING (page_id) WHERE {_inner_sql('inner_html')} = want GROUP BY h.page_id),
+t AS (SELECT f.page_id, {_inner_sql('inner_html')} AS body, row_number() OVER (PARTITION BY f.page_id ORDER BY opens) AS k
+  FROM f JOIN hd USING (page_id) WHERE opens > start)
+SELECT cut.page_id, coalesce(arg_min(body, k) FILTER (contains(lower(body), 'the')), arg_max(body, k)) AS section,
+  count(*) FILTER (contains(lower(body), 'the')) > 0 AS keyword_found
+FROM cut LEFT JOIN t ON t.page_id = cut.page_id AND k <= 5 GROUP BY cut.page_id""")
+def q_section_by_heading(spark, d):
+    title = PG._inner_text(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+    return PG.section_by_heading(table(spark, d, "pages"), title, "p|footer|div", "the")
+
+
 @register("combine_title_body", f"""WITH {_EXTRACT_SQL}
 SELECT page_id, 'Title: ' || title || chr(10) || chr(10) || description AS combined_text, 1 AS true_label, 'Bait' AS true_label_name FROM page""")
 def q_combine_title_body(spark, d):
