@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.sinks import writers as W
@@ -133,3 +134,28 @@ def test_latin_1_files_are_told_from_utf_8(spark):
         pass
     got = sorted((r.source_file, r.record_id, r.text) for r in S.read_csv_tree(spark, root).collect())
     assert got == [(f, i, t) for f in ("a.csv", "b.csv") for i, t in enumerate(("plain", "café, crème"))]
+
+
+def test_bad_lines(spark):
+    d = tempfile.mkdtemp(prefix="tm-bad-")
+    _write(f"{d}/a/x.csv", 'text,label\ngood,1\nshort\nwide,1,more\n"quoted, ""x"", y",0\ntrailing,1,\n"multi\nline, z",1,2,3\nlast,0\n')
+    _write(f"{d}/b/y.csv", 'body,Class,n\none,0,1\nwide,1,2,3\n"a,b,c,d",1\n')
+
+    def rows(policy):
+        df = S.read_csv_tree(spark, d, bad_lines=policy)
+        return {(r.source_file, r.record_id): r for r in df.collect()}, df.columns
+    kept, columns = rows("keep")
+    assert len(kept) == 10 and S.CORRUPT not in columns
+    skipped, columns = rows("skip")
+    assert S.CORRUPT not in columns
+    assert set(kept) - set(skipped) == {("x.csv", 2), ("x.csv", 4), ("x.csv", 5), ("y.csv", 1)}
+    assert skipped["x.csv", 1].label is None and skipped["x.csv", 3].text == 'quoted, "x", y'
+    assert skipped["y.csv", 2].body == "a,b,c,d" and skipped["y.csv", 2].n is None
+    recorded, _ = rows("record")
+    raw = {k: r[S.CORRUPT].strip() for k, r in recorded.items() if r[S.CORRUPT] is not None}
+    assert set(recorded) == set(kept)
+    assert raw == {("x.csv", 1): "short", ("x.csv", 2): "wide,1,more", ("x.csv", 4): "trailing,1,",
+                   ("x.csv", 5): '"multi\nline, z",1,2,3', ("y.csv", 1): "wide,1,2,3", ("y.csv", 2): '"a,b,c,d",1'}
+    assert S.read_csv_tree(spark, d, bad_lines="record").select("text").where("text = 'last'").count() == 1
+    with pytest.raises(ValueError):
+        S.read_csv_tree(spark, d, bad_lines="drop")

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
                "maxCharsPerColumn": "-1", "inferSchema": "false"}
+CORRUPT = "_corrupt_record"
 
 
 def _files_under(spark: SparkSession, root: str, suffix: str = ".csv") -> list[str]:
@@ -83,13 +84,25 @@ def quarantine_lfs(spark: SparkSession, files: list[str]) -> tuple[list[str], li
     return real, lfs
 
 
-def read_csv_group(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> DataFrame:
+def read_csv_group(spark: SparkSession, files: list[str], encoding: str = "UTF-8", bad_lines: str = "keep") -> DataFrame:
     """All files share one header; every column is read as STRING.  Column
-    names are kept case-sensitive (``text`` and ``Text`` are different)."""
+    names are kept case-sensitive (``text`` and ``Text`` are different).
+
+    ``bad_lines``: ``keep`` fills what a row lacks with nulls and cuts what it
+    has too much; ``skip`` drops rows of more fields than the header (short
+    ones stay, as in a lenient pandas read); ``record`` keeps all and adds
+    ``_corrupt_record``, the raw text of a row of another width."""
+    if bad_lines not in ("keep", "skip", "record"):
+        raise ValueError(f"bad_lines must be keep, skip or record, not {bad_lines!r}")
     prev = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
-        df = spark.read.options(**CSV_OPTIONS).option("encoding", encoding).csv(files)
+        reader = spark.read.options(**CSV_OPTIONS).option("encoding", encoding)
+        df = reader.csv(files)
+        names = df.columns
+        if bad_lines != "keep":
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+            df = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").csv(files)
         df = df.select(*[F.col(f"`{c}`") for c in df.columns],
                        F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_name").alias("_file_name"),
                        F.monotonically_increasing_id().alias("_mid"))
@@ -98,6 +111,13 @@ def read_csv_group(spark: SparkSession, files: list[str], encoding: str = "UTF-8
     return df
 
 
+def too_wide(raw: Column, width: int) -> Column:
+    """Whether a raw CSV row has more than ``width`` fields: commas counted
+    outside of quotes (a quote that is never closed goes to the end)."""
+    bare = F.regexp_replace(raw, r'"[^"]*+(?:"|\z)', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= width
+
+
 def with_provenance(df: DataFrame, root: str) -> DataFrame:
     """source_file = file name with ',' -> ';'; source_name = first directory
     below root (root's own name for top-level files); record_id = 0-based
@@ -126,11 +146,14 @@ def na_to_null(df: DataFrame, cols=None) -> DataFrame:
                        if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
-def read_csv_tree(spark: SparkSession, root: str, exclude_dirs=(), encoding: str | None = None) -> DataFrame:
+def read_csv_tree(spark: SparkSession, root: str, exclude_dirs=(), encoding: str | None = None,
+                  bad_lines: str = "keep") -> DataFrame:
     """Recursive CSV scan with LFS quarantine, header-drift union,
     provenance columns and pandas-style NA handling.  Without a given
-    encoding a file that is not valid UTF-8 is read as Latin-1; lines of the
-    wrong width are kept, with nulls for what they lack."""
+    encoding a file that is not valid UTF-8 is read as Latin-1; rows of the
+    wrong width go by ``bad_lines`` (see :func:`read_csv_group`).  Rows are
+    numbered before bad ones are dropped, so ``record_id`` is their place in
+    the file under every policy."""
     files = list_csv_files(spark, root, exclude_dirs)
     heads, _ = _real(file_heads(spark, files).collect())
     by_path = {_norm(f): f for f in files}
@@ -140,14 +163,20 @@ def read_csv_tree(spark: SparkSession, root: str, exclude_dirs=(), encoding: str
         groups.setdefault((r["first_line"] or "", enc), []).append(by_path.get(_norm(r["file_path"]), r["file_path"]))
     if not groups:
         raise RuntimeError(f"none of the {len(files)} CSV files holds data: Git LFS pointers or empty")
-    frames = [with_provenance(read_csv_group(spark, fs, enc), root) for (_, enc), fs in groups.items()]
+    frames = []
+    for (_, enc), fs in groups.items():
+        f = with_provenance(read_csv_group(spark, fs, enc, bad_lines), root)
+        if bad_lines == "skip":
+            width = len(f.columns) - 4  # less _corrupt_record and the provenance columns
+            f = f.filter(F.col(CORRUPT).isNull() | ~too_wide(F.col(CORRUPT), width)).drop(CORRUPT)
+        frames.append(f)
     prev = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
         u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     finally:
         spark.conf.set("spark.sql.caseSensitive", prev)
-    return na_to_null(u, [c for c in u.columns if c not in ("source_file", "source_name", "record_id")])
+    return na_to_null(u, [c for c in u.columns if c not in ("source_file", "source_name", "record_id", CORRUPT)])
 
 
 def missing_expected(columns: list[str], expected: list[str]) -> list[str]:
