@@ -94,3 +94,18 @@ def test_language_query_held_out_accuracy(spark, sf):
     held = [x for x in got if zlib.crc32(str(x["doc_id"]).encode()) % 3 == 1 and docs[x["doc_id"]]["lang"]]
     assert all(x["held_out"] for x in held)
     assert np.mean([x["lang_pred"] == docs[x["doc_id"]]["lang"] for x in held]) > 0.95
+
+
+def test_languages_beyond_the_bound(spark):
+    """The languages with the most rows are learned, ties by name; every row gets a result."""
+    r = rng()
+    own = {"aa": "lorem ipsum dolor", "bb": "zwei drei vier", "cc": "uno dos tres", "dd": "yksi kaksi kolme"}
+    texts = [(lang, sentence(r, 12, own[lang].split())) for lang, n in (("aa", 5), ("bb", 60), ("cc", 60), ("dd", 5)) for _ in range(n)]
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = lang_id.train(docs, most_classes=3)
+    counted = docs.where("crc32(cast(doc_id as string)) % 3 != 1").groupBy("lang").count().collect()
+    assert model.languages == sorted(x["lang"] for x in sorted(counted, key=lambda x: (-x["count"], x["lang"]))[:3])
+    shared = lang_id.broadcast_model(spark, model)
+    got = docs.select("lang", lang_id.predict(shared).alias("r")).collect()
+    assert len(got) == len(texts) and all(x["r"]["lang_pred"] in model.languages for x in got)
+    assert all(x["r"]["lang_pred"] == x["lang"] for x in got if x["lang"] in ("bb", "cc"))

@@ -25,7 +25,7 @@ from .ftrl import Settings, bounded, fit
 BITS = 15
 SAMPLE_ROWS = 12_000      # labelled rows for the weights, at most about so many
 CALIBRATION_ROWS = 4_000  # and for the temperature
-MOST_CLASSES = 500
+MOST_CLASSES = 500        # languages that get weights, the ones with the most rows
 UNKNOWN = "und"
 SETTINGS = Settings(alpha=0.5, beta=1.0, l1=0.02, l2=0.001, epochs=3, shard_rows=3000)
 TEMPERATURES = tuple(round(0.05 * 1.15 ** k, 4) for k in range(40))
@@ -83,17 +83,22 @@ class Model:
 
 
 def train(docs: DataFrame, lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS,
-          calibration_rows: int = CALIBRATION_ROWS, settings: Settings = SETTINGS) -> Model:
+          calibration_rows: int = CALIBRATION_ROWS, settings: Settings = SETTINGS,
+          most_classes: int = MOST_CLASSES) -> Model:
     """Learn from text and language of the documents whose crc32(doc_id as
     text) mod 3 is not 1, where both are given.  Without such rows the model
-    knows no language."""
+    knows no language.
+
+    Of more than ``most_classes`` languages those with the most rows (then the
+    smaller name) are learned; rows of the others are not learned from, and
+    their texts get the likeliest of the learned ones."""
     spark = docs.sparkSession
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 3) != 1))
             .select("doc_id", F.col(lang_col).alias("language"), text_bytes().alias("body")))
-    found = rows.groupBy("language").count().orderBy("language").limit(MOST_CLASSES + 1).collect()
-    if len(found) > MOST_CLASSES:
-        raise ValueError(f"more than {MOST_CLASSES} languages")
-    languages = [r["language"] for r in found]
+    found = rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(most_classes + 1).collect()
+    languages = sorted(r["language"] for r in found[:most_classes])
+    if len(found) > most_classes:
+        rows = rows.where(F.col("language").isin(languages))
     n, df = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + df)) + 1
     weights = np.zeros(((1 << BITS) + 1, max(len(languages), 1)))
