@@ -24,18 +24,27 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score below 0.7, null and empty texts too.  Without labels
+    every row scores 0.5 and stays."""
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"), threshold=0.7)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose language is recognised with a calibrated chance of 0.5 or
+    more; null texts and texts without a letter go, and all rows where no
+    language can be learned."""
     return lang_id.drop_unidentified(docs, least=0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies: that of the smallest doc_id.
+    Rows without a doc_id stay; repeated rows leave one."""
     return simhash.drop_near_duplicates(docs, words=3, max_bits=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows in which no benchmark window occurs; all where the benchmark is
+    empty."""
     return decontam.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), width=10)
 
 
