@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.sinks import writers as W
 from textmill.sources import files as S
+from textmill.sources import json_array as J
 
 
 def _write(path, text):
@@ -74,6 +75,47 @@ def test_json_dump_and_logs(spark):
     assert got["bert"].confusion_matrix is None
 
 
+AWKWARD = [{"contents": "a } b { c"}, {"contents": 'say "}" \\\\ {'}, {"contents": ""}, {"other": [{"contents": "inner"}, {}]}, {},
+           {"contents": "\u00e9\u4e16\U0001f600 }" * 40}, {"contents": "x" * 3000, "deep": {"a": {"b": [1, {"c": "]["}]}}},
+           {"contents": None}, {"contents": "tail\\\\"}]
+
+
+@pytest.mark.parametrize("block, indent", [(151, None), (157, 2), (700, None), (1 << 27, 2)])
+def test_json_objects_in_blocks(spark, block, indent):
+    d = tempfile.mkdtemp(prefix="tm-json-")
+    rows = AWKWARD * 2
+    _write(f"{d}/a.json", json.dumps(["{", 1, "}", None, *rows, 'a"{'], indent=indent, ensure_ascii=False))
+    _write(f"{d}/b.json", "\n".join(json.dumps(r) for r in AWKWARD))
+    _write(f"{d}/c.json", "[]")
+    _write(f"{d}/d.json", "")
+    _write(f"{d}/e.json", '} [{"contents": "one"}} , {"contents": "never clo')
+    want = sorted([json.dumps(r) for r in rows + AWKWARD + [{"contents": "one"}]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        got = [r.element for r in J.read_json_objects(spark, d).collect()]
+        contents = [r.contents for r in S.read_json_dump(spark, f"{d}/a.json").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    cut = [e for e in got if "never clo" in e]
+    assert len(cut) == 1 and cut[0].startswith('{"contents": "never clo')
+    assert sorted(json.dumps(json.loads(e)) for e in got if e not in cut) == want
+    assert sorted(map(str, contents)) == sorted(str(r.get("contents")) for r in rows)
+
+
+def test_json_objects_without_broadcast(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="tm-json-")
+    _write(f"{d}/a.json", json.dumps(AWKWARD * 2))
+    monkeypatch.setattr(J, "BROADCAST_BLOCKS", 0)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    try:
+        got = [r.element for r in J.read_json_objects(spark, d).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(json.dumps(json.loads(e)) for e in got) == sorted(json.dumps(r) for r in AWKWARD * 2)
+
+
 def test_csv_round_trip(spark):
     d = tempfile.mkdtemp(prefix="tm-csv-")
     rows = [('a "quoted", text\nwith newline', 1), ("plain", 0)]

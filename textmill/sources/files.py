@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .json_array import read_json_objects
+
 # FIXED VALUES: marker line of a Git LFS pointer file, and the NA spellings
 # that the pandas CSV reader treats as missing.
 LFS_SPEC = "version https://git-lfs.github.com/spec/v1"
@@ -200,8 +202,11 @@ def load_labelled(spark: SparkSession, path: str, fmt: str = "parquet", required
 
 
 def read_json_dump(spark: SparkSession, path: str, field: str = "contents") -> DataFrame:
-    """A JSON array of objects (multi-line) -> one row per element."""
-    return spark.read.option("multiLine", True).json(path).select(F.col(field).cast("string").alias(field))
+    """An array of JSON objects -> ``field`` of each, as text; null where it
+    is missing or the object is malformed.  One file is read in many tasks
+    (:func:`read_json_objects`)."""
+    schema = T.StructType([T.StructField(field, T.StringType())])
+    return read_json_objects(spark, path).select(F.from_json("element", schema)[field].alias(field))
 
 
 EVAL_SCHEMA = T.StructType([
