@@ -409,11 +409,15 @@ s AS (SELECT 0 AS step, 'master' AS stage, (SELECT count(*) FROM master) AS rows
 SELECT step, stage, rows_after, lag(rows_after) OVER (ORDER BY step) AS rows_before,
        lag(rows_after) OVER (ORDER BY step) - rows_after AS removed FROM s""")
 def q_stage_report(spark, d):
-    m = master(spark, d)
-    labelled_ = F.col("text").isNotNull() & F.col("label").isNotNull()
-    m = materialize(m.select(labelled_.alias("labelled"), F.when(labelled_, F.col("text")).alias("text")), "text", T.clean_base("text"))
-    return QL.stage_report_once(m, [("labelled", F.col("labelled")), ("min_length", F.length(F.trim("text")) >= 50)],
-                                ("dedup", DD.digest("text")))
+    """Texts are cleaned where they lie; only what the stages ask of them
+    meets the labels."""
+    docs = table(spark, d, "documents").select("doc_id", "text", F.col("text").isNotNull().alias("has_text"))
+    docs = materialize(docs, "text", T.clean_base("text"))
+    long_enough = F.length(F.trim("text")) >= 50
+    asked = docs.select("doc_id", "has_text", long_enough.alias("long_enough"), F.when(long_enough, DD.digest("text")).alias("digest"))
+    m = asked.join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    return QL.stage_report_once(m, [("labelled", F.col("has_text") & F.col("toxic").isNotNull()), ("min_length", F.col("long_enough"))],
+                                ("dedup", F.col("digest")))
 
 
 @register("error_analysis", f"""
