@@ -115,31 +115,26 @@ def naive_bayes_closed_form(train_tf: DataFrame, train_labels: DataFrame, test_t
     lab = train_labels.select("doc_id", "label")
     t = train_tf.join(lab, "doc_id")
     if vocab is not None:
-        t = t.join(F.broadcast(vocab.select("term")), "term", "left_semi")
-        test_tf = test_tf.join(F.broadcast(vocab.select("term")), "term", "left_semi")
-    v_size = t.select(F.count_distinct("term")).scalar()
+        t = t.join(vocab.select("term"), "term", "left_semi")
+    # One row a term, with its count under each label.
+    counts = t.groupBy("label", "term").agg(F.sum("tf").alias("n")) \
+              .groupBy("term").agg(F.collect_list(F.struct("label", "n")).alias("seen"))
+    v_size = counts.select(F.count(F.lit(1))).scalar()
     n_docs = lab.select(F.count(F.lit(1))).scalar()
     priors = lab.groupBy("label").agg(F.log(F.count(F.lit(1)) / n_docs).alias("log_prior"))
-    tc = t.groupBy("label", "term").agg(F.sum("tf").alias("n_tc"))
-    totals = tc.groupBy("label").agg(F.sum("n_tc").alias("n_c"))
-    denom = totals.withColumn("log_denom", F.log(F.col("n_c") + F.lit(alpha) * v_size))
-    logp = tc.join(F.broadcast(denom), "label").select(
-        "label", "term", (F.log(F.col("n_tc") + F.lit(alpha)) - F.col("log_denom")).alias("log_p"))
-    # Terms never seen with a label still get alpha / denom.
-    base = denom.select("label", (F.log(F.lit(alpha)) - F.col("log_denom")).alias("log_p0"))
-    classes = F.broadcast(priors.join(base, "label"))
+    totals = t.groupBy("label").agg(F.log(F.sum("tf") + F.lit(alpha) * v_size).alias("log_denom"))
+    # The labels are few and ride along as a scalar subquery.
+    classes = priors.join(totals, "label").select(
+        F.sort_array(F.collect_list(F.struct("label", "log_prior", "log_denom")))).scalar()
     # Terms never seen in training are ignored; a seen term never seen with a
-    # label gets log(alpha) - log_denom (log_p0).  The class list is at most
-    # a handful of rows and rides along as a scalar subquery.
-    test_terms = test_tf.join(t.select("term").distinct(), "term", "left_semi")
-    lab_list = classes.select(F.sort_array(F.collect_list(F.struct("label", "log_prior", "log_p0")))).scalar()
-    docs = test_docs.select("doc_id").distinct()
-    d = docs.select("doc_id", F.explode(lab_list).alias("c")).select("doc_id", "c.label", "c.log_prior")
-    tt = test_terms.select("doc_id", "term", "tf", F.explode(lab_list).alias("c")) \
-                   .select("doc_id", "term", "tf", "c.label", "c.log_p0")
-    s = tt.join(logp, ["label", "term"], "left").groupBy("doc_id", "label") \
-          .agg(F.sum(F.col("tf") * F.coalesce(F.col("log_p"), F.col("log_p0"))).alias("_ll"))
-    return d.join(s, ["doc_id", "label"], "left").select(
+    # label counts alpha there.
+    known = test_tf.join(counts, "term").select("doc_id", "tf", "seen", F.explode(classes).alias("c"))
+    n = F.aggregate(F.filter("seen", lambda s: s["label"] == F.col("c.label")), F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    sums = known.groupBy("doc_id", F.col("c.label").alias("label")).agg(
+        F.sum(F.col("tf") * (F.log(n + F.lit(alpha)) - F.col("c.log_denom"))).alias("_ll"))
+    docs = test_docs.select("doc_id").distinct().select("doc_id", F.explode(classes).alias("c")) \
+                    .select("doc_id", "c.label", "c.log_prior")
+    return docs.join(sums, ["doc_id", "label"], "left").select(
         "doc_id", "label", (F.col("log_prior") + F.coalesce(F.col("_ll"), F.lit(0.0))).alias("log_score"))
 
 
