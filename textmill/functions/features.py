@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import LABEL_NAMES_EDA, LABEL_NAMES_PLAIN, LABEL_NAMES_SHORT, MONEY_KEYWORDS, PUNCT_CLASS
-from .text import _col, whitespace_words
+from .text import _col, let, whitespace_words
 
 
 def text_length(c) -> Column:
@@ -49,12 +49,6 @@ def sigmoid(c) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, also where the body
-    refers to it inside another lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _shares(positive: Column) -> Column:
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
     return let(positive, lambda v: let(total(v), lambda t: F.transform(v, lambda x: x / t)))
