@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import os
 import re
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from textmill.operators import models as MD
 from textmill.operators import tfidf as TF
 from textmill.plans import catalog as C
 from textmill.plans import ml_queries as ML
+from textmill.streaming import scoring as ST
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,8 +56,13 @@ def test_bounded_vocabulary_is_broadcast(spark):
     assert {(r["doc_id"], r["term"]): r["tf"] for r in t.collect()}[1, "alpha"] == 3
 
 
-def test_scoring_model_learns_from_cached_rows(spark):
+def test_scoring_model_learns_from_cached_rows(spark, tmp_path):
     model, rows = ML._batch_model(spark, SF)
     assert rows.is_cached
     rows.unpersist()
     assert "array_contains" not in MD.terms_sql("text") and len(model.stages) == 2
+    docs = spark.createDataFrame([(i, f"pay the bill {i} now") for i in range(40)], "doc_id long, text string")
+    docs.repartition(4).write.parquet(f"{tmp_path}/in/docs.parquet")
+    got = ST.score_stream(spark, model, f"{tmp_path}/in", "docs.parquet", f"{tmp_path}/out")
+    assert got.select("doc_id").distinct().count() == 40
+    assert [f for f in os.listdir(f"{tmp_path}/out/_checkpoint/commits") if f.isdigit()] == ["0"]  # one micro-batch for all files

@@ -29,7 +29,7 @@ def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, glo
     """Run the scorer over the files in ``source_dir`` matching ``glob`` as a
     stream (availableNow), write parquet to ``out_dir``, return it."""
     path = f"{source_dir.rstrip('/')}/{glob}"  # a file, a folder of part files, or a pattern of either
-    stream = (spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", "1g")  # small files share a micro-batch
+    stream = (spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", 1 << 30)  # small files share a micro-batch
               .parquet(f"{path[:-1]}[{path[-1]}]" if path[-1].isalnum() else path))  # a pattern may name a file or a folder
     scored = scored_view(model, stream, id_col, text_col)
     q = (scored.writeStream.format("parquet").option("path", out_dir + "/data")
