@@ -66,3 +66,10 @@ def test_scoring_model_learns_from_cached_rows(spark, tmp_path):
     got = ST.score_stream(spark, model, f"{tmp_path}/in", "docs.parquet", f"{tmp_path}/out")
     assert got.select("doc_id").distinct().count() == 40
     assert [f for f in os.listdir(f"{tmp_path}/out/_checkpoint/commits") if f.isdigit()] == ["0"]  # one micro-batch for all files
+
+
+def test_rows_read_a_few_times_stay_out_of_the_heap(spark):
+    _, rows = ML._batch_model(spark, SF)
+    level = rows.storageLevel
+    rows.unpersist()
+    assert level.useDisk and not level.useMemory
