@@ -1,9 +1,13 @@
 """Queries over small tables with rows that are easily lost."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.operators import models as MD
 from textmill.plans import catalog as C
+from textmill.plans import ml_queries as ML
 
 SF001 = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -46,3 +50,15 @@ def test_tfidf_keeps_the_whole_vocabulary(spark):
     assert abs(norms[0] - 1) < 1e-3 and abs(norms[1] - 1) < 1e-3
     top = C.q_top_doc_terms(spark, SF001)
     assert top.join(t.where("term_index >= 20000"), ["doc_id", "term"]).count() > 0
+
+
+def test_grid_search_takes_every_published_cell_and_refits_the_best(spark, write, monkeypatch):
+    d = write([(f"please read number {k} {'offer prize' if k % 2 else 'meeting agenda'} today", "en", k % 2) for k in range(60)])
+    monkeypatch.setattr(MD, "cross_validate_cells", lambda cells, *a: [(0.9 if k % 12 == 5 else 0.5, 0.0) for k in range(len(cells))])
+    got = ML.q_grid_search(spark, d).collect()
+    for kind in MD.KINDS:
+        mine = [r for r in got if r["model_name"] == kind]
+        assert [json.loads(r["params"]) for r in mine] == MD.default_grid(kind)  # before: linear models at one vocabulary setting
+        best = [r for r in mine if r["is_best"]]
+        assert len(best) == 1 and best[0]["cv_accuracy"] == 0.9 and best[0]["refit_accuracy"] == 1.0
+        assert all(r["refit_accuracy"] is None for r in mine if not r["is_best"])
