@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.operators import linear as LN
 from textmill.operators import models as MD
 from textmill.operators import sampling as SM
 from textmill.operators import tfidf as TF
@@ -59,6 +60,20 @@ def test_texts_are_tokenised_once_for_all_folds(spark, folds, monkeypatch):
     assert len(seen) == 1  # before: one for every fold and vocabulary setting
 
 
+def test_blocks_are_read_once_for_all_splits(folds, monkeypatch):
+    seen = []
+    plain = LN._folded
+    monkeypatch.setattr(LN, "_folded", lambda *a: seen.append(a) or plain(*a))
+    MD.cross_validate_cells([("naive_bayes", {"max_features": 20})], folds)
+    assert len(seen) == 2  # class sums and accuracies; before: both for every fold
+
+
+def test_groups_that_may_not_meet_on_the_driver_share_no_job(monkeypatch):
+    monkeypatch.setattr(LN, "AT_ONCE", 8 * 10 * 4)  # ten numbers of four tasks
+    assert LN.in_jobs({0: 5, 1: 5, 2: 5}, 4) == [[0, 1], [2]]
+    assert LN.in_jobs({0: 5, 1: 11}, 4) == [[0, 1]]  # the tasks fold them
+
+
 def test_empty_table_and_one_label(spark, folds):
     assert MD.cross_validate_cells(CELLS[:1], folds.limit(0)) == [(None, None)]
     assert MD.cross_validate_cells(CELLS[:1], folds.where(F.col("label") == 1)) == [(None, None)]
